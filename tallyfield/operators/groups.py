@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the broadcast side are at most this many, by an explicit limit.
+# At most this many groups are broadcast, by an explicit limit.
 HEAVY_GROUPS = 10_000
+# A group below this size is harmless in a shuffle and is never broadcast.
+HEAVY_ROWS = 1_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -26,24 +28,38 @@ def attach_to_groups(
     groups: DataFrame,
     on: Sequence[str],
     weight: str,
+    counts: DataFrame | None = None,
     heavy_groups: int = HEAVY_GROUPS,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Inner join ``rows`` with ``groups``, a frame of one row per key of ``on``.
 
     ``weight`` names the column of ``groups`` that counts the rows of a group.
-    The ``heavy_groups`` largest groups are broadcast, which the limit proves to
-    be small. All other rows are joined through a shuffle, in which no key can be
-    hot: each holds less than 1/heavy_groups of all rows. Every row takes exactly
-    one of the two ways, and NULL keys match NULL keys.
+    The largest groups, at most ``heavy_groups`` and each above ``heavy_rows``,
+    are broadcast; the limit proves them to be small. All other rows are joined
+    through a shuffle, in which no key is hot: each holds at most ``heavy_rows``
+    rows or less than 1/heavy_groups of all. Every row takes exactly one of the
+    two ways, and NULL keys match NULL keys.
 
-    The counts are exact and ties are broken by key, so the choice of the heavy
-    groups is the same however often Spark has to compute it.
+    The counts are exact and ties are broken by key, so the heavy groups are the
+    same however often Spark has to compute them. ``counts`` may give keys and
+    weight from a frame that is cheaper than ``groups`` to choose them from.
     """
-    # The filter never drops a row. It keeps the weight, and so the same
-    # aggregate, on both ways, which lets Spark compute it once and reuse it.
+    # The filter never drops a row, and the later sort columns never decide. They
+    # make every use of ``groups`` read the same columns, so that Spark does not
+    # prune it to different aggregates and computes it once.
     counted = groups.filter(F.col(weight) > 0)
-    heavy = F.broadcast(counted.orderBy(F.desc(weight), *on).limit(heavy_groups))
-    in_heavy = null_safe_join(rows, heavy, on, "inner")
-    light_rows = null_safe_join(rows, heavy, on, "left_anti")
+    source = counted if counts is None else counts
+    others = [c for c in source.columns if c != weight and c not in on]
+    heavy = (
+        source.filter(F.col(weight) > heavy_rows)
+        .orderBy(F.desc(weight), *on, *others)
+        .limit(heavy_groups)
+    )
+    keys = F.broadcast(heavy.select(*on))
+    if counts is not None:
+        heavy = null_safe_join(counted, keys, on, "left_semi")
+    in_heavy = null_safe_join(rows, F.broadcast(heavy), on, "inner")
+    light_rows = null_safe_join(rows, keys, on, "left_anti")
     in_light = null_safe_join(light_rows, counted, on, "inner")
     return in_heavy.unionByName(in_light)

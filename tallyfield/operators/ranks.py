@@ -83,7 +83,9 @@ def rank_rows(
     ranked = null_safe_join(
         values.withColumn("higher", _sum_before(weight, by_value)), bins, [*keys, bin_of], "inner"
     ).select(*keys, value, counted, (F.col("above") + F.col("higher") + 1).alias(name))
-    return attach_to_groups(rows, ranked, [*keys, value], counted).drop(counted)
+    return attach_to_groups(
+        rows, ranked, [*keys, value], counted, counts=values.drop(bin_of)
+    ).drop(counted)
 
 
 def _ordered(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
