@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyfield.operators.groups import attach_to_groups, null_safe_join
+from tallyfield.operators.groups import HEAVY_GROUPS, attach_to_groups, null_safe_join
 
+BIN = "value_bin"
+# More rows than this in one bin are too many for one task to sort.
+HEAVY_BIN_ROWS = 5_000_000
 METHODS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -50,49 +53,81 @@ def rank_rows(
     keys: Sequence[str],
     value: str,
     name: str = "rank",
-    method: str = "rank",
-    bins_per_e: int = 64,
+    bins_per_e: int = 1024,
+    heavy_rows: int = HEAVY_BIN_ROWS,
+    heavy_bins: int = HEAVY_GROUPS,
 ) -> DataFrame:
     """Rank rows by a numeric ``value``, highest first and NULL last, within ``keys``.
 
-    Exact, and no task has to hold a group: rows are first counted per distinct
-    value, the values are laid into bins that follow the order of the values,
-    and a rank is the count of the bins above plus the count of the higher
-    values in the same bin. A bin spans the share 1/``bins_per_e`` of its values,
-    so a group has some thousand bins at most, whatever its size.
+    Exact, like ``rank`` over a window, but no task has to hold a group. The
+    values are laid into bins that follow their order; a rank is the number of
+    rows in the bins above plus the rank within the bin. Bins are narrow, a
+    1/``bins_per_e`` share of the value each, so a group spreads over as many
+    tasks as its values allow. Only a value that very many rows share can crowd a
+    bin; rows of crowded bins are counted per value instead of being sorted.
     """
-    if method not in ("rank", "dense_rank"):
-        raise ValueError(f"unknown method: {method}")
-    keys = list(keys)
-    counted = "rows_with_value"
-    bin_of = "value_bin"
-    weight = F.col(counted) if method == "rank" else F.lit(1)
+    binned = rows.withColumn(BIN, _ordered_bin(F.col(f"`{value}`"), bins_per_e))
+    cell = [*keys, BIN]
+    by_bin = W.partitionBy(*keys).orderBy(F.desc_nulls_last(BIN))
+    bins = (
+        binned.groupBy(*cell)
+        .agg(F.count("*").alias("in_bin"))
+        .withColumn("above", _sum_before("in_bin", by_bin))
+    )
+    heavy = F.broadcast(
+        bins.filter(F.col("in_bin") > heavy_rows)
+        .orderBy(F.desc("in_bin"), *cell)
+        .limit(heavy_bins)
+        .select(*cell)
+    )
+    sparse = null_safe_join(binned, heavy, cell, "left_anti")
+    crowded = null_safe_join(binned, heavy, cell, "left_semi")
+    ranked = _rank_in_bins(sparse, bins, cell, value, name).unionByName(
+        _rank_by_counts(crowded, bins, cell, value, name)
+    )
+    return ranked.drop(BIN)
 
-    values = rows.groupBy(*keys, value).agg(F.count("*").alias(counted))
-    values = values.withColumn(bin_of, _ordered_bin(F.col(f"`{value}`"), bins_per_e))
 
-    by_bin = W.partitionBy(*keys).orderBy(F.desc_nulls_last(bin_of))
-    bins = (
-        values.groupBy(*keys, bin_of)
-        .agg(F.sum(weight).alias("in_bin"))
-        .withColumn("above", _sum_before(F.col("in_bin"), by_bin))
-        .drop("in_bin")
+def _rank_in_bins(
+    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str
+) -> DataFrame:
+    """Rank by a window over one bin.
+
+    The number of rows above travels to the bin as one more row that sorts before
+    all others, so rows are shuffled once and need no join.
+    """
+    heads = bins.select(*cell, "above").withColumn("place", F.lit(0))
+    both = rows.withColumn("place", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    by_value = W.partitionBy(*cell).orderBy("place", F.desc_nulls_last(value))
+    above = F.max("above").over(by_value.rowsBetween(W.unboundedPreceding, W.currentRow))
+    # The head has rank 1, so the ranks of the rows start at 2.
+    return (
+        both.withColumn(name, above + F.rank().over(by_value) - 1)
+        .filter(F.col("place") == 1)
+        .drop("place", "above")
     )
 
-    by_value = W.partitionBy(*keys, bin_of).orderBy(F.desc_nulls_last(value))
-    ranked = null_safe_join(
-        values.withColumn("higher", _sum_before(weight, by_value)), bins, [*keys, bin_of], "inner"
-    ).select(*keys, value, counted, (F.col("above") + F.col("higher") + 1).alias(name))
-    return attach_to_groups(
-        rows, ranked, [*keys, value], counted, counts=values.drop(bin_of)
-    ).drop(counted)
+
+def _rank_by_counts(
+    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str
+) -> DataFrame:
+    """Rank by counting the rows of every distinct value."""
+    counts = rows.groupBy(*cell, value).agg(F.count("*").alias("with_value"))
+    by_value = W.partitionBy(*cell).orderBy(F.desc_nulls_last(value))
+    higher = counts.withColumn("higher", _sum_before("with_value", by_value))
+    ranks = null_safe_join(higher, bins.select(*cell, "above"), cell, "inner").select(
+        *cell, value, "with_value", (F.col("above") + F.col("higher") + 1).alias(name)
+    )
+    return attach_to_groups(rows, ranks, [*cell, value], "with_value", counts=counts).drop(
+        "with_value"
+    )
 
 
 def _ordered(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
     return W.partitionBy(*keys).orderBy(*order)
 
 
-def _sum_before(column: Column, window: WindowSpec) -> Column:
+def _sum_before(column: str, window: WindowSpec) -> Column:
     before = window.rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
