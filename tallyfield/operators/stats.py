@@ -29,24 +29,22 @@ def preview(df: DataFrame, columns: int = 10, rows: int = 5) -> DataFrame:
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column: count, mean, stddev, min, max.
 
-    One scan and one aggregate over all columns; the single result row is then
-    laid out as one row per column.
+    One scan. The columns are unpivoted and summarised per name, which keeps the
+    aggregate small enough to be compiled; one aggregate with five functions for
+    each of some hundred columns is not.
     """
     names = list(columns if columns is not None else numeric_columns(df))
-    measured = df.agg(
-        *(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(F.col(f"`{c}`")).alias("n"),
-                mean_of(F.col(f"`{c}`")).alias("mean"),
-                F.stddev(F.col(f"`{c}`")).alias("stddev"),
-                F.min(F.col(f"`{c}`")).cast("double").alias("min"),
-                F.max(F.col(f"`{c}`")).cast("double").alias("max"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(names)
-        )
+    cells = df.select(*(F.col(f"`{c}`").cast("double").alias(c) for c in names)).unpivot(
+        [], names, "column_name", "value"
+    )
+    value = F.col("value")
+    return cells.groupBy("column_name").agg(
+        F.count(value).alias("n"),
+        mean_of(value).alias("mean"),
+        F.stddev(value).alias("stddev"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    return measured.select(F.inline(F.array(*(F.col(f"c{i}") for i in range(len(names))))))
 
 
 def sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
