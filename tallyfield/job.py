@@ -1,12 +1,15 @@
 """Batch job: read the data sets, profile them, answer the questions, write reports.
 
-    spark-submit --py-files tallyfield.zip tallyfield/job.py --data DIR --out DIR
+    python -m tallyfield.job --data DIR --out DIR [--state-file FILE] [--questions A1 N7 ...]
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from tallyfield.plans.suite import QUESTIONS, describe_all, run_all
 from tallyfield.session import get_session
 from tallyfield.sources import readers
@@ -44,10 +47,8 @@ def main(argv: list[str] | None = None) -> None:
         )
 
 
-def _joined(report):
+def _joined(report: DataFrame) -> DataFrame:
     """CSV holds no arrays, so the list of states becomes text."""
-    from pyspark.sql import functions as F
-
     return report.withColumn("states_list", F.concat_ws(",", "states_list"))
 
 

@@ -64,7 +64,13 @@ def near_pairs(
 
 
 def _cells(
-    rows: DataFrame, key: str, differ: str, row_id: str, seconds: Column, max_gap: int, chunk_rows: int
+    rows: DataFrame,
+    key: str,
+    differ: str,
+    row_id: str,
+    seconds: Column,
+    max_gap: int,
+    chunk_rows: int,
 ) -> DataFrame:
     """Rows with their slot of time and, in crowded cells, their chunk."""
     slotted = (

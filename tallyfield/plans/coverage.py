@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import fixed_values as fixed
 from tallyfield.functions.columns import bucketize, mean_of, ratio, tier
+from tallyfield.operators.dims import attach_dimension
 from tallyfield.operators.ranks import group_rank, top_n_per_group
 from tallyfield.operators.shares import leaders_summary, running_share, share_of_parent
 from tallyfield.operators.stats import (
@@ -302,7 +303,7 @@ def _working_age() -> Column:
 
 def _with_code(by_state: DataFrame, states: DataFrame) -> DataFrame:
     """Add ``ST`` to a frame of one row per ``StateAbbr``."""
-    return by_state.join(states.select("ST", "StateAbbr"), "StateAbbr")
+    return attach_dimension(by_state, states, "StateAbbr", ["ST"])
 
 
 def _state_tiers(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import fixed_values as fixed
 from tallyfield.functions.columns import bucketize, mean_of, ratio
+from tallyfield.operators.dims import attach_dimension
 from tallyfield.operators.ranks import rank_rows, top_n_per_group
 
 
@@ -68,13 +69,11 @@ def young_income_rank(persons: DataFrame, states: DataFrame, below_age: int = 40
     One row per person; without income the rank is last.
     """
     adjusted = F.col("PINCP").cast("double") * F.col("ADJINC").cast("double") / 1_000_000
-    young = (
-        persons.filter(F.col("AGEP") < below_age)
-        .select("ST", "AGEP", adjusted.alias("Adjusted_Income"))
-        .join(states.select("ST", "StateAbbr"), "ST")
-        .select("StateAbbr", "AGEP", "Adjusted_Income")
+    young = persons.filter(F.col("AGEP") < below_age).select(
+        "ST", "AGEP", adjusted.alias("Adjusted_Income")
     )
-    return rank_rows(young, ["StateAbbr"], "Adjusted_Income", name="Income_Rank_in_State").select(
+    named = attach_dimension(young, states, "ST", ["StateAbbr"]).drop("ST")
+    return rank_rows(named, ["StateAbbr"], "Adjusted_Income", name="Income_Rank_in_State").select(
         "StateAbbr", "AGEP", "Adjusted_Income", "Income_Rank_in_State"
     )
 
@@ -94,7 +93,7 @@ def _mean_by_state(
         F.sum(column).alias("total"), F.count(column).alias("known")
     )
     return (
-        sums.join(states.select("ST", F.col("StateAbbr").alias("State")), "ST")
-        .groupBy("State")
+        attach_dimension(sums, states, "ST", ["StateAbbr"])
+        .groupBy(F.col("StateAbbr").alias("State"))
         .agg(ratio(F.sum("total"), F.sum("known")).alias(name))
     )

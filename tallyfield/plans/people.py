@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import fixed_values as fixed
 from tallyfield.functions.columns import bucketize, label, mean_of, or_zero, ratio
+from tallyfield.operators.dims import attach_dimension
 from tallyfield.operators.ranks import group_rank, top_n_per_group
 from tallyfield.operators.shares import rate_per
 
@@ -90,12 +91,14 @@ def bad_weather_rate_by_age(
     The incidents of a state are set against every age band of it.
     """
     band = bucketize(F.col("AGEP"), fixed.ACCIDENT_AGE_BANDS, fixed.ACCIDENT_AGE_LAST)
-    population = (
+    by_code = (
         persons.filter(F.col("AGEP").isNotNull())
         .groupBy("ST", band.alias("Age_Group"))
         .agg(F.count("*").alias("n"))
-        .join(states.select("ST", F.col("StateAbbr").alias("State")), "ST")
-        .groupBy("State", "Age_Group")
+    )
+    population = (
+        attach_dimension(by_code, states, "ST", ["StateAbbr"])
+        .groupBy(F.col("StateAbbr").alias("State"), "Age_Group")
         .agg(F.sum("n").alias("population"))
     )
     bad = (
@@ -128,11 +131,13 @@ def incident_rate_by_sex(
 
     Incidents carry no sex, so all incidents of a state count for both.
     """
-    population = (
+    by_code = (
         persons.filter(F.col("SEX").isNotNull())
         .groupBy("ST", "SEX")
         .agg(F.count("*").alias("population"))
-        .join(states.select("ST", F.col("StateAbbr").alias("State")), "ST")
+    )
+    population = attach_dimension(by_code, states, "ST", ["StateAbbr"]).withColumnRenamed(
+        "StateAbbr", "State"
     )
     incidents = (
         accidents.filter(F.col("State").isNotNull())
