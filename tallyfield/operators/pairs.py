@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions.columns import flag
 
-# A cell larger than this is split into chunks of about this many rows.
+# A cell larger than this is crowded; it is split into chunks of about this many rows.
 CHUNK_ROWS = 2_000
-# Split cells are broadcast; the limit bounds their number.
-SPLIT_CELLS = 10_000
+# The crowded cells are broadcast; the limit bounds their number.
+CROWDED_CELLS = 10_000
+
+CELL = ["key", "slot", "differ"]
 
 
 def near_pairs(
@@ -30,24 +32,36 @@ def near_pairs(
     Each pair comes once, with ``id_a < id_b``: ``key, id_a, differ_a, id_b,
     differ_b``. Rows with a NULL key, differ value, id or time pair with nothing.
 
-    Rows are laid into cells: one ``differ`` value of one key in one stretch of
-    ``max_gap`` seconds. Two rows can only pair if their cells are of the same or
-    neighbouring stretches, so cells are matched first, and only across
-    ``differ`` values; rows of one ``differ`` value are never set against each
-    other, however many there are. A crowded cell is split into chunks by a hash
-    of the id, so that a hot key spreads over many tasks. Work thus follows the
-    number of pairs in matched cells, not the square of a key's rows.
+    Time is cut into slots of ``max_gap`` seconds, so partners lie in the same or
+    in neighbouring slots. One ``differ`` value of one key in one slot is a cell.
+    Rows of ordinary cells are joined by key and slot; a row meets at most three
+    cells of its own ``differ`` value there, which are small. Crowded cells are
+    split into chunks by a hash of the id and matched chunk by chunk with cells of
+    other ``differ`` values only, so that a hot key spreads over many tasks and
+    rows that cannot pair are not set against each other.
     """
-    cells = _cells(rows, key, differ, row_id, seconds, max_gap, chunk_rows)
-    one, two = _side(cells, "one"), _side(cells, "two")
-    blocks = _blocks(cells)
-    paired = (
-        blocks.join(one, ["key", "one_slot", "one_differ", "one_chunk"])
-        .join(two, ["key", "two_slot", "two_differ", "two_chunk"])
-        .filter(
-            (F.abs(F.col("one_time") - F.col("two_time")) < max_gap)
-            & (F.col("one_id") != F.col("two_id"))
+    slotted = (
+        rows.select(
+            F.col(key).alias("key"),
+            F.col(differ).alias("differ"),
+            F.col(row_id).alias("id"),
+            seconds.alias("time"),
         )
+        .dropna()
+        .withColumn("slot", F.floor(F.col("time") / max_gap))
+    )
+    crowded = F.broadcast(
+        slotted.groupBy(*CELL)
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > chunk_rows)
+        .orderBy(F.desc("n"), *CELL)
+        .limit(CROWDED_CELLS)
+        .select(*CELL, F.ceil(F.col("n") / chunk_rows).alias("chunks"))
+    )
+    matched = _ordinary(slotted, crowded).unionByName(_crowded(slotted, crowded))
+    paired = matched.filter(
+        (F.abs(F.col("one_time") - F.col("two_time")) < max_gap)
+        & (F.col("one_id") != F.col("two_id"))
     )
     in_order = F.col("one_id") < F.col("two_id")
 
@@ -55,7 +69,7 @@ def near_pairs(
         return F.when(in_order, F.col(first)).otherwise(F.col(second))
 
     return paired.select(
-        F.col("key"),
+        "key",
         pick("one_id", "two_id").alias("id_a"),
         pick("one_differ", "two_differ").alias("differ_a"),
         pick("two_id", "one_id").alias("id_b"),
@@ -63,63 +77,58 @@ def near_pairs(
     )
 
 
-def _cells(
-    rows: DataFrame,
-    key: str,
-    differ: str,
-    row_id: str,
-    seconds: Column,
-    max_gap: int,
-    chunk_rows: int,
-) -> DataFrame:
-    """Rows with their slot of time and, in crowded cells, their chunk."""
-    slotted = (
-        rows.select(
-            F.col(key).alias("key"),
-            F.col(differ).alias("differ"),
-            F.col(row_id).alias("id"),
-            seconds.alias("time"),
-        )
-        .dropna()
-        .withColumn("slot", F.floor(F.col("time") / max_gap))
-    )
-    crowded = (
-        slotted.groupBy("key", "slot", "differ")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > chunk_rows)
-        .orderBy(F.desc("n"), "key", "slot", "differ")
-        .limit(SPLIT_CELLS)
+SIDES = [f"{side}_{c}" for side in ("one", "two") for c in ("differ", "id", "time")]
+
+
+def _side(rows: DataFrame, side: str, *columns: str) -> DataFrame:
+    return rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in columns))
+
+
+def _ordinary(slotted: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Candidate pairs of which neither row is in a crowded cell.
+
+    The second row is of the same slot, with a higher id, or of the next slot.
+    """
+    sparse = slotted.join(crowded, CELL, "left_anti")
+    one = _side(sparse, "one", "slot", "differ", "id", "time")
+    two = _side(sparse, "two", "slot", "differ", "id", "time").withColumn(
+        "one_slot", F.explode(F.array(F.col("two_slot"), F.col("two_slot") - 1))
     )
-    chunks = F.ceil(F.col("n") / chunk_rows)
-    chunk = F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), chunks))
-    return slotted.join(F.broadcast(crowded), ["key", "slot", "differ"], "left").select(
-        "key", "slot", "differ", chunk.cast("int").alias("chunk"), "id", "time"
+    once = (F.col("one_slot") < F.col("two_slot")) | (F.col("one_id") < F.col("two_id"))
+    return (
+        one.join(two, ["key", "one_slot"])
+        .filter((F.col("one_differ") != F.col("two_differ")) & once)
+        .select("key", *SIDES)
     )
 
 
-def _side(cells: DataFrame, side: str) -> DataFrame:
-    columns = ("slot", "differ", "chunk", "id", "time")
-    return cells.select("key", *(F.col(c).alias(f"{side}_{c}") for c in columns))
+def _crowded(slotted: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Candidate pairs of which the first row is in a crowded cell.
 
-
-def _blocks(cells: DataFrame) -> DataFrame:
-    """Pairs of cells that may hold pairs of rows, each pair of cells once."""
-    distinct = cells.groupBy("key", "slot", "differ", "chunk").agg(F.count("*").alias("n"))
-    one = distinct.select(
-        "key",
-        F.col("slot").alias("one_slot"),
-        F.col("differ").alias("one_differ"),
-        F.col("chunk").alias("one_chunk"),
+    Chunks are matched first, and rows are then joined by chunk. Of two crowded
+    cells the one with the lower ``differ`` value is the first.
+    """
+    chunk = F.when(F.col("chunks").isNull(), -1).otherwise(
+        F.pmod(F.xxhash64("id"), F.col("chunks"))
     )
-    two = distinct.select(
-        "key",
-        F.col("slot").alias("two_slot"),
-        F.col("differ").alias("two_differ"),
-        F.col("chunk").alias("two_chunk"),
-        F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).alias("one_slot"),
+    place = ("slot", "differ", "chunk")
+    chunked = slotted.join(crowded, CELL, "left").withColumn("chunk", chunk)
+    held = slotted.join(crowded, CELL, "inner").withColumn("chunk", chunk)
+    first = _side(held.select("key", *place).distinct(), "one", *place)
+    second = _side(chunked.select("key", *place).distinct(), "two", *place).withColumn(
+        "one_slot",
+        F.explode(F.array(*(F.col("two_slot") + step for step in (-1, 0, 1)))),
+    )
+    once = (F.col("two_chunk") < 0) | (F.col("one_differ") < F.col("two_differ"))
+    blocks = first.join(second, ["key", "one_slot"]).filter(
+        (F.col("one_differ") != F.col("two_differ")) & once
     )
-    return one.join(two, ["key", "one_slot"]).filter(
-        F.col("one_differ") < F.col("two_differ")
+    one = _side(held, "one", *place, "id", "time")
+    two = _side(chunked, "two", *place, "id", "time")
+    return (
+        blocks.join(one, ["key", *(f"one_{c}" for c in place)])
+        .join(two, ["key", *(f"two_{c}" for c in place)])
+        .select("key", *SIDES)
     )
 
 
