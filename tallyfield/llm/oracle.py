@@ -1,6 +1,6 @@
 """SQL with the same rows as the queries that SQL can express."""
 
-_WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = f"""
@@ -26,8 +26,8 @@ FROM documents JOIN c ON c.d = documents.doc_id LEFT JOIN n ON n.doc_id = docume
 OP2 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, y -> y IS NULL OR NOT isfinite(y))) = 0
-    AND len(list_filter(embedding, y -> y <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+    AND len(list_filter(embedding, lambda y: y <> 0)) > 0
 ),
 e AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
@@ -46,7 +46,7 @@ OP4 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, h, from_hex(sha1(h))::BIT::VARCHAR AS bits, max(page_id) OVER (PARTITION BY h) AS m FROM p)
 SELECT page_id, strlen(h) AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (1 + {" + ".join(_BIT.format(k + 1, 16 >> k) for k in range(5))})::INT, 1)), '') AS payload_digest,
   CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id < m THEN m END AS refers_to
@@ -56,7 +56,7 @@ FROM d
 OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT *, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d
+  SELECT *, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d
 ),
 p AS (SELECT row, p, array_to_string(w[p : p + 4], ' ') AS s FROM (SELECT row, w, unnest(range(1, len(w) - 3)) AS p FROM w WHERE len(w) > 4)),
 c AS (SELECT row, p FROM p QUALIFY count(*) OVER (PARTITION BY row, s) > 1),
