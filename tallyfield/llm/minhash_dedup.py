@@ -28,11 +28,13 @@ BASE = 1.01
 BANDS, ROWS = 20, 5
 # Scale: minima of up to 10^12 elements stay within a register's 16 bits.
 LARGEST = 4000
-# Pairs whose estimate lies this far below the threshold are not verified; the standard error of
-# the estimate from 100 registers is below 0.05.
-MARGIN = 0.25
+# Pairs whose estimate lies this far below the threshold are not verified: four standard errors
+# of an estimate of 0.85 from 100 registers.
+MARGIN = 0.15
+# Nodes of one bucket that a task compares with each other at once, and rows per group of buckets.
+BLOCK_ROWS, GROUP_ROWS = 1024, 2000
 THRESHOLD = 85
-# Bits per block of elements in one numpy step.
+# Elements in one numpy step.
 BLOCK = 4096
 
 
@@ -166,6 +168,90 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: in
     return matched.where(100 * F.col("i") >= threshold * F.col("u")).select("a", "b")
 
 
+def _band_keys(sketches: np.ndarray) -> np.ndarray:
+    """One number per sketch and band."""
+    parts = sketches.reshape(len(sketches), BANDS, ROWS).astype(np.uint64)
+    return (parts * _FACTORS[None, None, :ROWS] ** np.uint64(3)).sum(axis=2)
+
+
+def _linked(group: pa.Table, threshold: int) -> pa.Table:
+    """Verified edges that join different components within some buckets, or pairs of blocks of buckets.
+
+    A pair that shares several buckets is looked at in the one of its first band. Pairs that
+    earlier edges have joined already are left out, so that there are fewer edges than rows.
+    """
+    names = group.column("node").to_pylist()
+    number = {name: k for k, name in enumerate(dict.fromkeys(names))}
+    node = np.array([number[name] for name in names])
+    first = np.unique(node, return_index=True)[1]
+    some = group.take(pa.array(first)).combine_chunks()
+    sketches = np.frombuffer(b"".join(some.column("registers").to_pylist()), "<u2").reshape(len(first), -1)
+    sizes = some.column("n_shingles").to_numpy()
+    bands = _band_keys(sketches)
+    lists = some.column("items").chunk(0)
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    roots: dict = {}
+    above = {}
+    component = [roots.setdefault(r, len(roots)) for r in some.column("root").to_pylist()]
+
+    def top(x: int) -> int:
+        while (y := above.get(x, x)) != x:
+            above[x] = above.get(y, y)
+            x = y
+        return x
+
+    key, low, high, part, band = (group.column(c).to_numpy() for c in ("key", "low", "high", "part", "band"))
+    order = np.lexsort((high, low, key))
+    new = (np.diff(key[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+    edges = []
+    own = np.array(component)
+    for rows in np.split(order, np.flatnonzero(new) + 1):
+        one, other = low[rows[0]], high[rows[0]]
+        left = node[rows[part[rows] == one]]
+        right = left if one == other else node[rows[part[rows] == other]]
+        for start in range(0, len(left), 256):
+            here = left[start : start + 256]
+            open_ = own[here][:, None] != own[right][None, :]
+            for t in range(band[rows[0]]):
+                open_ &= bands[here, t][:, None] != bands[right, t][None, :]
+            a, b = sizes[here][:, None], sizes[right][None, :]
+            open_ &= 100 * np.minimum(a, b) >= threshold * np.maximum(a, b)
+            if one == other:
+                open_ &= here[:, None] < right[None, :]
+            i, j = np.nonzero(open_)
+            i, j = here[i], right[j]
+            for at in range(0, len(i), 4096):
+                x, y = i[at : at + 4096], j[at : at + 4096]
+                guess = similarity(sketches[x].astype(np.int32), sketches[y].astype(np.int32), sizes[x].astype(float), sizes[y].astype(float))
+                likely = np.flatnonzero(guess >= threshold / 100 - MARGIN)
+                for k in likely[np.argsort(-guess[likely], kind="stable")]:
+                    p, q = int(x[k]), int(y[k])
+                    if top(component[p]) == top(component[q]):
+                        continue
+                    both = len(np.intersect1d(values[offsets[p] : offsets[p + 1]], values[offsets[q] : offsets[q + 1]], assume_unique=True))
+                    if 100 * both >= threshold * (sizes[p] + sizes[q] - both):
+                        above[top(component[p])] = top(component[q])
+                        edges.append((p, q))
+    back = list(number)
+    return pa.table({
+        "a": pa.array([back[p] for p, _ in edges], pa.binary()), "b": pa.array([back[q] for _, q in edges], pa.binary()),
+    })
+
+
+def _across(rest: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Edges between components that share a bucket; ``rest`` has key, band, node and root."""
+    blocks = F.ceil(F.count("*").over(W.partitionBy("key")) / BLOCK_ROWS)
+    members = rest.select("key", "band", "node", "root", blocks.alias("blocks"))
+    members = members.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("key", "band", "node", "root", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    dealt = checkpoint(dealt)
+    groups = max(1, dealt.count() // GROUP_ROWS)
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
+    full = dealt.join(nodes.select("node", "n_shingles", "registers"), "node").join(sets, "node")
+    return full.groupBy("task").applyInArrow(lambda group: _linked(group, threshold), "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_key) for every row of ``docs`` (doc_id, text).
 
@@ -178,8 +264,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     Equal sets are one node of the graph, so copies cost nothing. In every bucket (band and
     value) all nodes are first compared with the smallest and the largest node. Buckets of
     more than three nodes that then still hold several components are compared in full between
-    the components, so no pair is left out, and a large group of near copies does not become
-    all its pairs.
+    the components, in pairs of blocks of bounded size, so no pair is left out. A task returns
+    only edges that join components, so a large group of near copies does not become all its
+    pairs.
     """
     rows = stored(sketch(docs))
     linked = rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
@@ -189,7 +276,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
     nodes = stored(nodes)
     bands = [F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)]
-    keyed = nodes.select("node", "first_id", F.explode(F.array(*bands)).alias("key"))
+    keyed = nodes.select("node", "first_id", F.posexplode(F.array(*bands)).alias("band", "key"))
     key = W.partitionBy("key")
     shared = keyed.select(
         "*", F.count("*").over(key).alias("size"), F.min("node").over(key).alias("low"), F.max("node").over(key).alias("high")
@@ -209,15 +296,12 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     edges = checkpoint(_verified(first, nodes, sets, threshold))
     labels = connected_components(edges)
 
-    rest = shared.where("size > 3").select("key", "node").join(labels, "node", "left")
-    rest = rest.select("key", "node", F.coalesce("root", "node").alias("root"))
+    rest = shared.where("size > 3").select("key", "band", "node").join(labels, "node", "left")
+    rest = rest.select("key", "band", "node", F.coalesce("root", "node").alias("root"))
     rest = rest.select("*", F.min("root").over(key).alias("main"), F.max("root").over(key).alias("last")).where("main <> last")
-    rest = checkpoint(rest.select("key", "node", "root", (F.col("root") != F.col("main")).alias("outside")))
+    rest = checkpoint(rest.select("key", "band", "node", "root"))
     if not rest.isEmpty():
-        outer = rest.where("outside").select("key", F.col("node").alias("x"), F.col("root").alias("root_x"))
-        across = rest.select("key", F.col("node").alias("y"), F.col("root").alias("root_y")).join(outer, "key").where("root_x <> root_y")
-        across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        edges = edges.union(_verified(across, nodes, sets, threshold))
+        edges = edges.union(checkpoint(_across(rest, nodes, sets, threshold)))
         labels = connected_components(edges)
 
     smallest = labels.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("component_id"))
