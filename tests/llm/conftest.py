@@ -1,0 +1,43 @@
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Nulls, empty, blank, long and repeated rows, exact and near copies."""
+    import random
+
+    rng = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        rows.append((i, " ".join(rng.choices(vocabulary, k=rng.randint(12, 120))), "en", f"s{i % 4}", 1))
+    for i in range(40, 60):
+        words = rows[i - 40][1].split()
+        words[len(words) // 2] = "changed"
+        rows.append((i, " ".join(words).upper(), "en", None, 1))
+    rows += [
+        (60, None, None, None, None), (61, "", "en", "s0", 0), (62, " \t\n\x0b ", "en", "s1", 5), (63, "one two", "en", "s1", 7),
+        (64, "One  TWO", "en", "s1", 8), (65, "again " * 4000, "en", "s2", 24000), (None, rows[3][1], "en", "s2", 3),
+        rows[5], rows[5], (66, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ' + rows[7][1], "en", "s3", 9),
+        (67, "line one here now\nline one here now\n# $ % & é\n" + rows[8][1], "fr", "é", 9),
+    ]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3, "lang").cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
