@@ -134,10 +134,11 @@ def _entries(texts: list[str], labels: np.ndarray) -> list[str]:
 def _exceptions(texts: list[str], labels: np.ndarray, entries: list[str]) -> list[str]:
     """Two-word phrases with an entry that only harmless texts hold, three at least."""
     toxic, harmless = set(), Counter()
-    whole = {e.strip() for e in entries if e.endswith(" ")}
+    known = set(entries)
     for text, label in zip(texts, labels, strict=True):
         words = text.split()
-        pairs = {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if a in whole or b in whole}
+        hit = {w for w in set(words) if not known.isdisjoint(_parts(w))}
+        pairs = {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if a in hit or b in hit}
         toxic.update(pairs) if label else harmless.update(pairs)
     return sorted(p for p, n in harmless.items() if n >= 3 and p not in toxic)
 
