@@ -135,7 +135,6 @@ def _view(
             left, right = _KEYS[(base, name)]
             side = side.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
         left, right = _KEYS[(base, chain[0])]
-        side = side.hint("merge") if chain[0] == "orders" else side
         rows = rows.join(side, F.col(left) == F.col(right))
     for name in sorted(needed - set(_CHAIN)):
         left, right = _KEYS[(base, name)]

@@ -103,47 +103,56 @@ PEER_AGE_LAST = "56+"
 VISIBILITY_BANDS = ((1, "Low (<1 mi)"), (5, "Moderate (1-5 mi)"))
 VISIBILITY_LAST = "High (>5 mi)"
 
-# Person columns in file order; i int, f float, s string.
+# Person columns in file order.
 PERSON_COLUMNS = """
-RT:s SERIALNO:s DIVISION:i SPORDER:i PUMA:i REGION:i ST:s ADJINC:i PWGTP:i AGEP:i CIT:s CITWP:f
-COW:f DDRS:f DEAR:i DEYE:i DOUT:f DPHY:f DRAT:f DRATX:f DREM:f ENG:f FER:f GCL:f GCM:f GCR:f
-HIMRKS:i HINS1:i HINS2:i HINS3:i HINS4:i HINS5:i HINS6:i HINS7:i INTP:f JWMNP:f JWRIP:f JWTRNS:f
-LANX:f MAR:i MARHD:f MARHM:f MARHT:f MARHW:f MARHYP:f MIG:f MIL:f MLPA:f MLPB:f MLPCD:f MLPE:f
-MLPFG:f MLPH:f MLPIK:f MLPJ:f NWAB:f NWAV:f NWLA:f NWLK:f NWRE:f OIP:f PAP:f RELSHIPP:i RETP:f
-SCH:f SCHG:f SCHL:f SEMP:f SEX:i SSIP:f SSP:f WAGP:f WKHP:f WKL:f WKWN:f WRK:f YOEP:f ANC:i
-ANC1P:i ANC2P:i DECADE:f DIS:s DRIVESP:f ESP:f ESR:f FOD1P:f FOD2P:f HICOV:i HISP:i INDP:f
-JWAP:f JWDP:f LANP:f MIGPUMA:f MIGSP:f MSP:f NAICSP:s NATIVITY:i NOP:s OC:s OCCP:s PAOC:s
-PERNP:s PINCP:s POBP:i POVPIP:s POWPUMA:s POWSP:s PRIVCOV:i PUBCOV:i QTRBIR:i RAC1P:i RAC2P:i
-RAC3P:i RACAIAN:i RACASN:i RACBLK:i RACNH:i RACNUM:i RACPI:i RACSOR:i RACWHT:i RC:f SCIENGP:f
-SCIENGRLP:f SFN:f SFR:f SOCP:s VPS:f WAOB:i
+RT string, SERIALNO string, DIVISION int, SPORDER int, PUMA int, REGION int, ST string,
+ADJINC int, PWGTP int, AGEP int, CIT string, CITWP float, COW float, DDRS float, DEAR int,
+DEYE int, DOUT float, DPHY float, DRAT float, DRATX float, DREM float, ENG float, FER float,
+GCL float, GCM float, GCR float, HIMRKS int, HINS1 int, HINS2 int, HINS3 int, HINS4 int,
+HINS5 int, HINS6 int, HINS7 int, INTP float, JWMNP float, JWRIP float, JWTRNS float, LANX float,
+MAR int, MARHD float, MARHM float, MARHT float, MARHW float, MARHYP float, MIG float, MIL float,
+MLPA float, MLPB float, MLPCD float, MLPE float, MLPFG float, MLPH float, MLPIK float,
+MLPJ float, NWAB float, NWAV float, NWLA float, NWLK float, NWRE float, OIP float, PAP float,
+RELSHIPP int, RETP float, SCH float, SCHG float, SCHL float, SEMP float, SEX int, SSIP float,
+SSP float, WAGP float, WKHP float, WKL float, WKWN float, WRK float, YOEP float, ANC int,
+ANC1P int, ANC2P int, DECADE float, DIS string, DRIVESP float, ESP float, ESR float,
+FOD1P float, FOD2P float, HICOV int, HISP int, INDP float, JWAP float, JWDP float, LANP float,
+MIGPUMA float, MIGSP float, MSP float, NAICSP string, NATIVITY int, NOP string, OC string,
+OCCP string, PAOC string, PERNP string, PINCP string, POBP int, POVPIP string, POWPUMA string,
+POWSP string, PRIVCOV int, PUBCOV int, QTRBIR int, RAC1P int, RAC2P int, RAC3P int, RACAIAN int,
+RACASN int, RACBLK int, RACNH int, RACNUM int, RACPI int, RACSOR int, RACWHT int, RC float,
+SCIENGP float, SCIENGRLP float, SFN float, SFR float, SOCP string, VPS float, WAOB int,
+FAGEP int, FANCP int, FCITP int, FCITWP int, FCOWP int, FDDRSP int, FDEARP int, FDEYEP int,
+FDISP int, FDOUTP int, FDPHYP int, FDRATP int, FDRATXP int, FDREMP int, FENGP int, FESRP int,
+FFERP int, FFODP int, FGCLP int, FGCMP int, FGCRP int, FHICOVP int, FHIMRKSP int, FHINS1P int,
+FHINS2P int, FHINS3C string, FHINS3P int, FHINS4C string, FHINS4P int, FHINS5C string,
+FHINS5P int, FHINS6P int, FHINS7P int, FHISP int, FINDP int, FINTP int, FJWDP int, FJWMNP int,
+FJWRIP int, FJWTRNSP int, FLANP int, FLANXP int, FMARP int, FMARHDP int, FMARHMP int,
+FMARHTP int, FMARHWP int, FMARHYP int, FMIGP int, FMIGSP int, FMILPP int, FMILSP int, FOCCP int,
+FOIP int, FPAP int, FPERNP int, FPINCP int, FPOBP int, FPOWSP int, FPRIVCOVP int, FPUBCOVP int,
+FRACP int, FRELSHIPP int, FRETP int, FSCHGP int, FSCHLP int, FSCHP int, FSEMP int, FSEXP int,
+FSSIP int, FSSP int, FWAGP int, FWKHP int, FWKLP int, FWKWNP int, FWRKP int, FYOEP int
 """
-
-# Stems of the allocation flags that follow, in file order. A flag
-# is named F + stem + P and is an int, except the three listed with their full
-# name, which are strings.
-PERSON_FLAG_STEMS = """
-AGE ANC CIT CITW COW DDRS DEAR DEYE DIS DOUT DPHY DRAT DRATX DREM ENG ESR FER FOD GCL GCM GCR
-HICOV HIMRKS HINS1 HINS2 FHINS3C HINS3 FHINS4C HINS4 FHINS5C HINS5 HINS6 HINS7 HIS IND INT JWD
-JWMN JWRI JWTRNS LAN LANX MAR MARHD MARHM MARHT MARHW MARHY MIG MIGS MILP MILS OCC OI PA PERN
-PINC POB POWS PRIVCOV PUBCOV RAC RELSHIP RET SCHG SCHL SCH SEM SEX SSI SS WAG WKH WKL WKWN WRK
-YOE
-"""
-PERSON_STRING_FLAGS = ("FHINS3C", "FHINS4C", "FHINS5C")
+# The replicate weights PWGTP1, PWGTP2 and so on follow.
 PERSON_REPLICATE_WEIGHTS = 80
 
-# Incident columns in file order; i int, f float, b boolean, s string.
+# Incident columns in file order.
 INCIDENT_COLUMNS = """
-ID:s Source:s Severity:i Start_Time:s End_Time:s Start_Lat:f Start_Lng:f End_Lat:f End_Lng:f
-Distance(mi):f Description:s Street:s City:s County:s State:s Zipcode:s Country:s Timezone:s
-Airport_Code:s Weather_Timestamp:s Temperature(F):f Wind_Chill(F):f Humidity(%):f
-Pressure(in):f Visibility(mi):f Wind_Direction:s Wind_Speed(mph):f Precipitation(in):f
-Weather_Condition:s Amenity:b Bump:b Crossing:b Give_Way:b Junction:b No_Exit:b Railway:b
-Roundabout:b Station:b Stop:b Traffic_Calming:b Traffic_Signal:b Turning_Loop:b
-Sunrise_Sunset:s Civil_Twilight:s Nautical_Twilight:s Astronomical_Twilight:s
+ID string, Source string, Severity int, Start_Time string, End_Time string, Start_Lat float,
+Start_Lng float, End_Lat float, End_Lng float, Distance(mi) float, Description string,
+Street string, City string, County string, State string, Zipcode string, Country string,
+Timezone string, Airport_Code string, Weather_Timestamp string, Temperature(F) float,
+Wind_Chill(F) float, Humidity(%) float, Pressure(in) float, Visibility(mi) float,
+Wind_Direction string, Wind_Speed(mph) float, Precipitation(in) float, Weather_Condition string,
+Amenity boolean, Bump boolean, Crossing boolean, Give_Way boolean, Junction boolean,
+No_Exit boolean, Railway boolean, Roundabout boolean, Station boolean, Stop boolean,
+Traffic_Calming boolean, Traffic_Signal boolean, Turning_Loop boolean, Sunrise_Sunset string,
+Civil_Twilight string, Nautical_Twilight string, Astronomical_Twilight string
 """
 
-# Coverage columns in file order; l is long, as block codes have 15 digits.
+# Coverage columns in file order. Block codes have 15 digits.
 COVERAGE_COLUMNS = """
-LogRecNo:i Provider_Id:i FRN:i ProviderName:s DBAName:s HoldingCompanyName:s HocoNum:i
-HocoFinal:s StateAbbr:s BlockCode:l TechCode:i Consumer:i MaxAdDown:f MaxAdUp:f Business:i
+LogRecNo int, Provider_Id int, FRN int, ProviderName string, DBAName string,
+HoldingCompanyName string, HocoNum int, HocoFinal string, StateAbbr string, BlockCode long,
+TechCode int, Consumer int, MaxAdDown float, MaxAdUp float, Business int
 """

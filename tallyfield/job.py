@@ -16,9 +16,6 @@ from tallyfield.sources import readers
 from tallyfield.sources.reports import write_report
 from tallyfield.sources.states import read_state_file
 
-# One row per person or per pair: written in parallel, never as a single file.
-ROW_LEVEL = ("A3", "N4", "X6")
-
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
@@ -35,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     tables = readers.load_parquet(spark, f"{args.out}/tables")
 
     for name, report in describe_all(tables).items():
-        write_report(report, f"{args.out}/statistics/{name}", args.format, single_file=True)
+        write_report(report, f"{args.out}/statistics/{name}", args.format)
 
     states = read_state_file(spark, args.state_file) if args.state_file else None
     for name, report in run_all(spark, tables, states, args.questions).items():
@@ -43,7 +40,6 @@ def main(argv: list[str] | None = None) -> None:
             report if name != "N10" or args.format != "csv" else _joined(report),
             f"{args.out}/reports/{name}",
             args.format,
-            single_file=name not in ROW_LEVEL,
         )
 
 

@@ -135,7 +135,8 @@ def _sum_before(column: str, window: WindowSpec) -> Column:
 def _ordered_bin(value: Column, bins_per_e: int) -> Column:
     """A bin number that never falls while the value rises; NULL stays NULL."""
     number = value.cast("double")
-    size = F.floor(F.log1p(F.abs(number)) * bins_per_e)
+    infinite = F.abs(number) == F.lit(float("inf"))
+    size = F.when(infinite, F.lit(2**61)).otherwise(F.floor(F.log1p(F.abs(number)) * bins_per_e))
     signed = F.when(number < 0, -size).otherwise(size)
     top = F.lit(2**62)  # NaN sorts above every number
     return F.when(F.isnan(number), top).otherwise(signed)

@@ -77,7 +77,7 @@ def leaders_summary(
     by the number of places.
     """
     return leaders.groupBy(entity).agg(
-        F.countDistinct(place).alias("places_led"),
+        F.count(place).alias("places_led"),
         mean_of(F.col(share)).alias("mean_share"),
         F.sort_array(F.collect_list(place)).alias("places"),
     )

@@ -75,8 +75,12 @@ def income_per_hour_by_industry(persons: DataFrame) -> DataFrame:
 
 
 def any_word(column: Column, words: Sequence[str]) -> Column:
-    """Whether any of the words occurs, in any case."""
-    return column.rlike("(?i)" + "|".join(words))
+    """Whether any of the words occurs as it is written, in any case; no word never occurs."""
+    text = F.lower(column)
+    found = F.lit(False)
+    for word in words:
+        found = found | text.contains(word.lower())
+    return found
 
 
 def bad_weather_rate_by_age(

@@ -4,36 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SINGLE_FILE_ROWS = 100_000
 
-
-def write_report(
-    report: DataFrame,
-    path: str,
-    fmt: str = "csv",
-    single_file: bool = False,
-    max_rows: int = SINGLE_FILE_ROWS,
-) -> None:
-    """Overwrite ``path`` with the report, in parallel unless a single file is asked for.
-
-    A single file is written only for a report of at most ``max_rows`` rows. A
-    longer one is written in parallel whatever was asked, so that no task ever
-    has to write it alone.
-    """
-    if not single_file:
-        _save(report, path, fmt)
-        return
-    head = report.limit(max_rows + 1).persist()
-    try:
-        if head.count() <= max_rows:
-            _save(head.coalesce(1), path, fmt)
-        else:
-            _save(report, path, fmt)
-    finally:
-        head.unpersist()
-
-
-def _save(report: DataFrame, path: str, fmt: str) -> None:
+def write_report(report: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Overwrite ``path`` with the report, written in parallel whatever its length."""
     writer = report.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

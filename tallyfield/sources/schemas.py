@@ -7,36 +7,25 @@ from pyspark.sql import types as T
 from tallyfield.functions import fixed_values as fixed
 
 TYPES = {
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "f": T.FloatType(),
-    "b": T.BooleanType(),
-    "s": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "float": T.FloatType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
 }
 
 
-def _fields(text: str) -> list[T.StructField]:
-    named = (entry.rsplit(":", 1) for entry in text.split())
+def _fields(columns: str) -> list[T.StructField]:
+    named = (column.split() for column in columns.split(","))
     return [T.StructField(name, TYPES[kind], True) for name, kind in named]
 
 
-def _person_flags() -> list[T.StructField]:
-    names = (
-        stem if stem in fixed.PERSON_STRING_FLAGS else f"F{stem}P"
-        for stem in fixed.PERSON_FLAG_STEMS.split()
-    )
-    return [
-        T.StructField(n, TYPES["s" if n in fixed.PERSON_STRING_FLAGS else "i"], True)
-        for n in names
-    ]
-
-
 def _replicate_weights() -> list[T.StructField]:
     count = fixed.PERSON_REPLICATE_WEIGHTS
-    return [T.StructField(f"PWGTP{n}", TYPES["i"], True) for n in range(1, count + 1)]
+    return [T.StructField(f"PWGTP{n}", TYPES["int"], True) for n in range(1, count + 1)]
 
 
-PERSONS = T.StructType(_fields(fixed.PERSON_COLUMNS) + _person_flags() + _replicate_weights())
+PERSONS = T.StructType(_fields(fixed.PERSON_COLUMNS) + _replicate_weights())
 INCIDENTS = T.StructType(_fields(fixed.INCIDENT_COLUMNS))
 COVERAGE = T.StructType(_fields(fixed.COVERAGE_COLUMNS))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from conftest import rows_of
+from pyspark.sql import functions as F
 from tallyfield.plans import cross, people as D
 from tallyfield.sources.states import state_table
 
@@ -113,3 +114,10 @@ def test_young_income_rank(states, persons):
          ("AL", 30, 7.7, 1)],
         key=repr,
     )
+
+
+def test_any_word_takes_words_as_written(frame):
+    rows = frame([("Snow (heavy)",), ("snow heavy",), ("a.b",), ("axb",), (None,)], "c string")
+    found = rows.select("c", D.any_word(F.col("c"), ["SNOW (HEAVY)", "A.B"]).alias("hit"), D.any_word(F.col("c"), []).alias("none"))
+    assert [r["hit"] for r in found.collect()] == [True, False, True, False, None]
+    assert not any(r["none"] for r in found.collect())
