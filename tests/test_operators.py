@@ -83,8 +83,8 @@ def test_rank_rows_equals_a_window(spark, rows):
 
 def test_rank_rows_puts_nan_above_infinity(spark):
     rows = [("g", 1.0), ("g", float("inf")), ("g", float("nan")), ("g", float("-inf"))]
-    ranked = ranks.rank_rows(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", "place").collect()
-    assert {str(r["v"]): r["place"] for r in ranked} == {"nan": 1, "inf": 2, "1.0": 3, "-inf": 4}
+    ranked = ranks.rank_rows(spark.createDataFrame(rows, "g string, v double"), ["g"], "v").collect()
+    assert {str(r["v"]): r["rank"] for r in ranked} == {"nan": 1, "inf": 2, "1.0": 3, "-inf": 4}
 
 
 def test_rank_rows_with_a_hot_value(spark):
