@@ -356,8 +356,9 @@ FROM scored"""
 
 
 def _profile(view: str, columns: list[str]) -> str:
+    names = {"Visibility": "Visibility(mi)"}
     return "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, count({c}) AS n, {_mean(c)} AS mean, "
+        f"SELECT '{names.get(c, c)}' AS column_name, count({c}) AS n, round({_mean(c)}, 6) AS mean, "
         f"round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
         f"CAST(max({c}) AS DOUBLE) AS max FROM {view}"
         for c in columns
@@ -365,16 +366,21 @@ def _profile(view: str, columns: list[str]) -> str:
 
 
 SQL["profile_persons"] = _with(PERSON) + _profile(
-    "person", ["AGEP", "WKHP", "SCHL", "ADJINC", "SEX", "NATIVITY", "WRK", "NOP", "INDP"]
+    "person",
+    ["SERIALNO", "AGEP", "WKHP", "JWMNP", "WAGP", "PINCP", "POVPIP", "ADJINC", "SEX", "NATIVITY",
+     "WRK", "NOP", "SCHL", "INDP", "MAR", "ESR", "RAC1P", "ST"],
+)
+SQL["profile_incidents"] = _with(INCIDENT) + _profile(
+    "incident", ["ID", "Severity", "Zipcode", "City", "Visibility"]
 )
-SQL["profile_incidents"] = _with(INCIDENT) + _profile("incident", ["Severity"])
 SQL["profile_coverage"] = _with(COVERAGE) + _profile(
     "coverage", ["MaxAdDown", "Consumer", "Business"]
 )
-SQL["dataset_sizes"] = """
-SELECT 'accidents' AS dataset, count(*) AS n_rows, 6 AS n_columns FROM events
-UNION ALL SELECT 'demographics', count(*), 11 FROM lineitem
-UNION ALL SELECT 'internet', count(*), 3 FROM lineitem"""
+SQL["dataset_sizes"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, count(*) AS n_rows, (SELECT CAST(count(*) AS INTEGER) FROM "
+    f"information_schema.columns WHERE table_name = '{t}') AS n_columns FROM {t}"
+    for t in ("events", "lineitem", "orders", "customer")
+)
 SQL["parsed_times_and_numbers"] = """
 SELECT ID, CAST(Start_Time AS VARCHAR) AS Start_Time, k FROM (
   SELECT event_id AS ID, date_trunc('second', ts) AS Start_Time,

@@ -1,9 +1,9 @@
 """The given tables in the role of persons, incidents and coverage.
 
-A view joins only the tables that the asked columns come from. Order lines and
-orders both grow with the data, so they are always sort-merged. For every other
-joined table Spark decides by its size: below the configured threshold it is
-broadcast, else both sides are shuffled and skewed partitions are split.
+A view joins only the tables that the asked columns come from; without columns it
+holds all of its role. How a table is joined is left to Spark, which decides by its
+size: below the configured threshold it is broadcast, else both sides are shuffled
+and skewed partitions are split.
 """
 
 from __future__ import annotations
@@ -126,6 +126,7 @@ _CHAIN = ("orders", "customer", "nation")
 def _view(
     spark: SparkSession, sf_dir: str, base: str, roles: dict[str, Role], columns: tuple[str, ...]
 ) -> DataFrame:
+    columns = columns or tuple(roles)
     needed = {t for c in columns for t in roles[c][1]}
     chain = [t for t in _CHAIN if t in needed]
     rows = table(spark, sf_dir, base)

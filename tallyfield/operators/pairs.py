@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions.columns import flag
 
-# A cell larger than this is crowded; it is split into chunks of about this many rows.
+# Rows of one key and slot are set against each other in blocks of about this many.
 CHUNK_ROWS = 2_000
-# The crowded cells are broadcast; the limit bounds their number.
-CROWDED_CELLS = 10_000
-
-CELL = ["key", "slot", "differ"]
+UNIT = ["key", "meeting", "one_block", "two_block"]
 
 
 def near_pairs(
@@ -33,12 +30,11 @@ def near_pairs(
     differ_b``. Rows with a NULL key, differ value, id or time pair with nothing.
 
     Time is cut into slots of ``max_gap`` seconds, so partners lie in the same or
-    in neighbouring slots. One ``differ`` value of one key in one slot is a cell.
-    Rows of ordinary cells are joined by key and slot; a row meets at most three
-    cells of its own ``differ`` value there, which are small. Crowded cells are
-    split into chunks by a hash of the id and matched chunk by chunk with cells of
-    other ``differ`` values only, so that a hot key spreads over many tasks and
-    rows that cannot pair are not set against each other.
+    in neighbouring slots: a meeting is a slot together with the next one. A slot
+    of one key with more than ``chunk_rows`` rows is cut into blocks: those of a
+    frequent ``differ`` value hold nothing else, the other rows are dealt by a
+    hash of the id. Rows are joined by pair of blocks, so a hot key spreads over
+    many tasks, and blocks of one and the same ``differ`` value never meet.
     """
     slotted = (
         rows.select(
@@ -50,18 +46,16 @@ def near_pairs(
         .dropna()
         .withColumn("slot", F.floor(F.col("time") / max_gap))
     )
-    crowded = F.broadcast(
-        slotted.groupBy(*CELL)
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > chunk_rows)
-        .orderBy(F.desc("n"), *CELL)
-        .limit(CROWDED_CELLS)
-        .select(*CELL, F.ceil(F.col("n") / chunk_rows).alias("chunks"))
-    )
-    matched = _ordinary(slotted, crowded).unionByName(_crowded(slotted, crowded))
-    paired = matched.filter(
-        (F.abs(F.col("one_time") - F.col("two_time")) < max_gap)
-        & (F.col("one_id") != F.col("two_id"))
+    units = _with_units(slotted, _crowded_slots(slotted, chunk_rows))
+    paired = (
+        _side(units, "one")
+        .join(_side(units, "two"), UNIT)
+        .filter(
+            (F.col("one_differ") != F.col("two_differ"))
+            & (F.abs(F.col("one_time") - F.col("two_time")) < max_gap)
+            & (F.col("one_id") != F.col("two_id"))
+            & ((F.col("one_slot") < F.col("two_slot")) | (F.col("one_id") < F.col("two_id")))
+        )
     )
     in_order = F.col("one_id") < F.col("two_id")
 
@@ -77,59 +71,109 @@ def near_pairs(
     )
 
 
-SIDES = [f"{side}_{c}" for side in ("one", "two") for c in ("differ", "id", "time")]
+def _side(units: DataFrame, side: str) -> DataFrame:
+    names = ("differ", "id", "time", "slot")
+    return units.filter(F.col("side") == side).select(
+        *UNIT, *(F.col(c).alias(f"{side}_{c}") for c in names)
+    )
 
 
-def _side(rows: DataFrame, side: str, *columns: str) -> DataFrame:
-    return rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in columns))
+def _block(slot: Column, differ: Column, chunk: Column) -> Column:
+    """Number of a block; the first one of mixed rows is 0 in every slot."""
+    first = differ.isNull() & (chunk == 0)
+    number = F.xxhash64(slot, differ, chunk.cast("int"))
+    return F.when(first, F.lit(0).cast("long")).otherwise(number)
 
 
-def _ordinary(slotted: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Candidate pairs of which neither row is in a crowded cell.
+def _crowded_slots(slotted: DataFrame, chunk_rows: int) -> DataFrame:
+    """``key, slot, own, next, previous``: the cuts of slots with crowded ones beside them.
 
-    The second row is of the same slot, with a higher id, or of the next slot.
+    Each of the three holds the ``frequent`` differ values with their chunks, the
+    number of ``mixed`` chunks, and all ``blocks``; NULL where a slot is not cut.
     """
-    sparse = slotted.join(crowded, CELL, "left_anti")
-    one = _side(sparse, "one", "slot", "differ", "id", "time")
-    two = _side(sparse, "two", "slot", "differ", "id", "time").withColumn(
-        "one_slot", F.explode(F.array(F.col("two_slot"), F.col("two_slot") - 1))
+    cells = slotted.groupBy("key", "slot", "differ").agg(F.count("*").alias("n"))
+    large, chunks = F.col("n") > chunk_rows, F.ceil(F.col("n") / chunk_rows).cast("int")
+    rest = F.coalesce(F.sum(F.when(~large, F.col("n"))), F.lit(0))
+    cut = (
+        cells.groupBy("key", "slot")
+        .agg(
+            F.collect_list(
+                F.when(large, F.struct("differ", chunks.alias("chunks")))
+            ).alias("frequent"),
+            F.greatest(F.ceil(rest / chunk_rows).cast("int"), F.lit(1)).alias("mixed"),
+        )
+        .filter((F.size("frequent") > 0) | (F.col("mixed") > 1))
     )
-    once = (F.col("one_slot") < F.col("two_slot")) | (F.col("one_id") < F.col("two_id"))
-    return (
-        one.join(two, ["key", "one_slot"])
-        .filter((F.col("one_differ") != F.col("two_differ")) & once)
-        .select("key", *SIDES)
+    kind = slotted.schema["differ"].dataType
+
+    def blocks_of(differ: Column, chunks: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), chunks - 1),
+            lambda k: F.named_struct(
+                F.lit("differ"), differ, F.lit("block"), _block(F.col("slot"), differ, k)
+            ),
+        )
+
+    frequent = F.flatten(F.transform("frequent", lambda f: blocks_of(f["differ"], f["chunks"])))
+    blocks = F.concat(blocks_of(F.lit(None).cast(kind), F.col("mixed")), frequent)
+    cuts = cut.select(
+        "key",
+        F.named_struct(
+            F.lit("frequent"), F.col("frequent"), F.lit("mixed"), F.col("mixed"),
+            F.lit("blocks"), blocks,
+        ).alias("cut"),
+        F.explode(F.array(*(F.struct((F.col("slot") + d).alias("slot"), F.lit(-d).alias("ahead"))
+                            for d in (-1, 0, 1)))).alias("at"),
+    )
+    names = {0: "own", 1: "next", -1: "previous"}
+    return cuts.groupBy("key", F.col("at.slot").alias("slot")).agg(
+        *(
+            F.first(F.when(F.col("at.ahead") == ahead, F.col("cut")), ignorenulls=True).alias(name)
+            for ahead, name in names.items()
+        )
     )
 
 
-def _crowded(slotted: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Candidate pairs of which the first row is in a crowded cell.
+def _with_units(slotted: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The rows once for each pair of blocks in which they may find a partner.
 
-    Chunks are matched first, and rows are then joined by chunk. Of two crowded
-    cells the one with the lower ``differ`` value is the first.
+    A row is the first one in the meeting of its slot and the second one there
+    and in the meeting before. Where nothing is crowded there is one pair of blocks.
     """
-    chunk = F.when(F.col("chunks").isNull(), -1).otherwise(
-        F.pmod(F.xxhash64("id"), F.col("chunks"))
+    placed = slotted.join(crowded, ["key", "slot"], "left")
+    differ, slot = F.col("differ"), F.col("slot")
+    frequent = F.filter(F.col("own.frequent"), lambda f: f["differ"] == differ)
+    is_frequent = F.coalesce(F.size(frequent) > 0, F.lit(False))
+    chunks = F.when(is_frequent, F.get(frequent, F.lit(0))["chunks"]).otherwise(
+        F.coalesce(F.col("own.mixed"), F.lit(1))
     )
-    place = ("slot", "differ", "chunk")
-    chunked = slotted.join(crowded, CELL, "left").withColumn("chunk", chunk)
-    held = slotted.join(crowded, CELL, "inner").withColumn("chunk", chunk)
-    first = _side(held.select("key", *place).distinct(), "one", *place)
-    second = _side(chunked.select("key", *place).distinct(), "two", *place).withColumn(
-        "one_slot",
-        F.explode(F.array(*(F.col("two_slot") + step for step in (-1, 0, 1)))),
+    placed = placed.withColumn(
+        "block", _block(slot, F.when(is_frequent, differ), F.pmod(F.xxhash64("id"), chunks))
     )
-    once = (F.col("two_chunk") < 0) | (F.col("one_differ") < F.col("two_differ"))
-    blocks = first.join(second, ["key", "one_slot"]).filter(
-        (F.col("one_differ") != F.col("two_differ")) & once
-    )
-    one = _side(held, "one", *place, "id", "time")
-    two = _side(chunked, "two", *place, "id", "time")
-    return (
-        blocks.join(one, ["key", *(f"one_{c}" for c in place)])
-        .join(two, ["key", *(f"two_{c}" for c in place)])
-        .select("key", *SIDES)
+
+    def others(cut: str) -> Column:
+        met = F.filter(
+            F.col(f"{cut}.blocks"), lambda b: b["differ"].isNull() | (b["differ"] != differ)
+        )
+        single = F.array(F.lit(0).cast("long"))
+        return F.coalesce(F.transform(met, lambda b: b["block"]), single)
+
+    def units(side: str, meeting: Column, blocks: Column) -> Column:
+        def unit(other: Column) -> Column:
+            one, two = (F.col("block"), other) if side == "one" else (other, F.col("block"))
+            return F.named_struct(
+                F.lit("side"), F.lit(side), F.lit("meeting"), meeting,
+                F.lit("one_block"), one, F.lit("two_block"), two,
+            )
+
+        return F.transform(F.array_distinct(blocks), unit)
+
+    every = F.concat(
+        units("one", slot, F.concat(others("own"), others("next"))),
+        units("two", slot, others("own")),
+        units("two", slot - 1, others("previous")),
     )
+    return placed.select("key", "differ", "id", "time", "slot", F.inline(every))
 
 
 def co_occurrence(

@@ -13,6 +13,8 @@ from tallyfield.operators.groups import HEAVY_GROUPS, attach_to_groups, null_saf
 BIN = "value_bin"
 # More rows than this in one bin are too many for one task to sort.
 HEAVY_BIN_ROWS = 5_000_000
+# The distinct values of such a bin are ranked in this many parts.
+PARTS = 256
 METHODS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -109,14 +111,33 @@ def _rank_in_bins(
 
 
 def _rank_by_counts(
-    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str
+    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str, parts: int = PARTS
 ) -> DataFrame:
-    """Rank by counting the rows of every distinct value."""
+    """Rank by counting the rows of every distinct value.
+
+    The distinct values of a bin are cut at their quantiles into ``parts``, so that
+    a bin of very many values takes several tasks. Where the cuts lie has no
+    influence on the ranks.
+    """
     counts = rows.groupBy(*cell, value).agg(F.count("*").alias("with_value"))
-    by_value = W.partitionBy(*cell).orderBy(F.desc_nulls_last(value))
-    higher = counts.withColumn("higher", _sum_before("with_value", by_value))
-    ranks = null_safe_join(higher, bins.select(*cell, "above"), cell, "inner").select(
-        *cell, value, "with_value", (F.col("above") + F.col("higher") + 1).alias(name)
+    at = F.percentile_approx(value, [i / parts for i in range(1, parts)])
+    cuts = counts.groupBy(*cell).agg(at.alias("cuts"))
+    part = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col(f"`{value}`"))), F.lit(0))
+    parted = null_safe_join(counts, cuts, cell, "inner").withColumn("part", part).drop("cuts")
+    piece = [*cell, "part"]
+    pieces = (
+        parted.groupBy(*piece)
+        .agg(F.sum("with_value").alias("in_part"))
+        .withColumn("higher", _sum_before("in_part", W.partitionBy(*cell).orderBy(F.desc("part"))))
+    )
+    by_value = W.partitionBy(*piece).orderBy(F.desc_nulls_last(value))
+    within = parted.withColumn("within", _sum_before("with_value", by_value))
+    above = null_safe_join(pieces.drop("in_part"), bins.select(*cell, "above"), cell, "inner")
+    ranks = null_safe_join(within, above, piece, "inner").select(
+        *cell,
+        value,
+        "with_value",
+        (F.col("above") + F.col("higher") + F.col("within") + 1).alias(name),
     )
     return attach_to_groups(rows, ranks, [*cell, value], "with_value", counts=counts).drop(
         "with_value"

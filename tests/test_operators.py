@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 from itertools import combinations
 
 import pytest
@@ -13,7 +14,7 @@ from conftest import rows_of
 from tallyfield.operators import groups, pairs, ranks, shares, stats
 
 SLOW = settings(
-    max_examples=6,
+    max_examples=8,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
@@ -99,6 +100,17 @@ def test_rank_rows_with_a_hot_value(spark):
         assert rows_of(got.select("g", "v", "rank")) == want
 
 
+def test_rank_rows_in_one_crowded_bin_of_many_values(spark):
+    df = spark.range(20_000).select(
+        F.lit("s").alias("g"),
+        (1 + F.pmod(F.xxhash64("id"), F.lit(5_000)) * 1e-12).alias("v"),
+    )
+    window = W.partitionBy("g").orderBy(F.desc_nulls_last("v"))
+    want = rows_of(df.withColumn("rank", F.rank().over(window)))
+    got = ranks.rank_rows(df, ["g"], "v", heavy_rows=100)
+    assert rows_of(got.select("g", "v", "rank")) == want
+
+
 # --- shares ---------------------------------------------------------------
 
 
@@ -153,6 +165,16 @@ def test_profile_and_preview(frame):
     assert stats.preview(df, columns=2, rows=1).count() == 1
 
 
+def test_profile_takes_long_and_decimal_columns(frame):
+    rows = [(2**53 + 1, Decimal("0.10"), 1.5), (-(2**53), Decimal("0.20"), None)]
+    df = frame(rows, "code long, money decimal(12,2), f float")
+    got = {r["column_name"]: r for r in stats.profile(df).collect()}
+    assert set(got) == {"code", "money", "f"}
+    assert got["code"]["mean"] == 0.5
+    assert (got["money"]["mean"], got["money"]["n"], got["f"]["n"]) == (0.15, 2, 1)
+    assert stats.profile(df.select(F.lit("x").alias("t"))).collect() == []
+
+
 def test_profile_agrees_with_describe(frame):
     df = frame([(i, float(i * i)) for i in range(20)], "a int, b double")
     described = {r["summary"]: r for r in df.describe().collect()}
@@ -249,6 +271,43 @@ def test_near_pairs_with_a_hot_street(spark):
     assert got.select("id_a").distinct().count() == 6_000
 
 
+def test_near_pairs_split_a_key_with_many_streets(spark):
+    """No street is crowded, but the key is; the pairs come from several tasks."""
+    rows = [("hot", f"S{i:04}", f"h{i:04}", i % 100) for i in range(600)]
+    got = near(spark, rows, 100, chunk_rows=100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = got.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in spread) == 600 * 599 // 2
+    assert len(spread) > 1
+    assert got.distinct().count() == 600 * 599 // 2
+
+
+def test_near_pairs_beside_a_crowded_slot(spark):
+    """Crowded and ordinary slots, frequent and other streets, on both sides of a border."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice(["z1", "z2"]), rng.choice(["s1"] * 6 + ["s2", "s3", "s4"]), f"A-{i}", t)
+        for i, t in enumerate([*range(0, 100, 2), 150, 199, 200, 250, 399, *range(400, 500, 9)])
+    ]
+    for chunk_rows in (1, 2, 7, 1_000):
+        assert rows_of(near(spark, rows, 100, chunk_rows)) == brute_pairs(rows, 100)
+
+
+def test_near_pairs_read_the_rows_three_times(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([("z", "s", "i", 1)], "k string, d string, i string, t long").write.parquet(path)
+    got = pairs.near_pairs(spark.read.parquet(path), "k", "d", "i", F.col("t"), 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("FileScan parquet") <= 3
+
+
 def test_co_occurrence(frame):
     df = frame(
         [("c1", "d1", "Light Rain"), ("c1", "d1", "Snow"), ("c2", "d1", "rain"), ("c2", "d1", "Snow"),
