@@ -2,8 +2,8 @@
 
 Per table, random projections of the unit vector are cut into blocks of eight coordinates and
 each block is decoded to the nearest point of the E8 lattice. The points of all blocks name
-the vector's cell; its neighbouring cells, probed too, replace one block's point by the nearest
-one of the lattice's other half. Vectors that share a cell, one of them at home there, are
+the vector's cell; its neighbouring cells, probed too, replace one block's point by the second
+nearest one of the lattice. Vectors that share a cell, one of them at home there, are
 compared by cosine in double precision.
 """
 
@@ -21,14 +21,14 @@ from tallyfield.llm.common import stored, table
 from tallyfield.llm.components import connected_components
 
 THRESHOLD = 0.9
-# Vectors of 64 random directions meet with a chance of 7e-5 under these; pairs at cosine 0.95
-# with 0.997, at 0.92 with 0.93 and at 0.9 with 0.84. More blocks and tables suit larger sets.
-TABLES, BLOCKS = 24, 3
+# Tables bring the recall of pairs just above the threshold near one; README.md has it by bands of cosine.
+# More blocks and tables suit larger sets.
+TABLES, BLOCKS = 72, 3
 # Lattice units per unit of distance, per projected coordinate.
 SCALE = 0.48
 SEED = 8
-# Vectors of one cell that a task compares with each other at once, and rows per group of cells.
-BLOCK_ROWS, GROUP_ROWS = 1024, 10_000
+# Vectors of one cell that a task compares with each other at once, rows per group of cells, and linked pairs whose cells are compared at once.
+BLOCK_ROWS, GROUP_ROWS, PAIRS_AT_ONCE = 1024, 10_000, 8_000
 
 
 def _nearest_d8(x: np.ndarray) -> np.ndarray:
@@ -43,15 +43,28 @@ def _nearest_d8(x: np.ndarray) -> np.ndarray:
     return np.where(odd[..., None], moved, near)
 
 
+def _root_towards(gap: np.ndarray) -> np.ndarray:
+    """Of the 240 shortest vectors of E8, the one nearest to each gap."""
+    size, sign = np.abs(gap), np.where(gap >= 0, 1.0, -1.0)
+    order = np.argsort(size, axis=-1)
+    whole = np.zeros_like(gap)
+    np.put_along_axis(whole, order[..., -2:], np.take_along_axis(sign, order[..., -2:], -1), -1)
+    # Halves have an even number of minus signs; if need be, the smallest coordinate gets the wrong one.
+    half, least = sign / 2, order[..., :1]
+    odd = (sign < 0).sum(axis=-1, keepdims=True) % 2 != 0
+    np.put_along_axis(half, least, np.take_along_axis(half, least, -1) * np.where(odd, -1.0, 1.0), -1)
+    return np.where(((whole * gap).sum(axis=-1) >= (half * gap).sum(axis=-1))[..., None], whole, half)
+
+
 def e8_points(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest E8 points of rows of eight numbers, and the nearest ones of the other half, both doubled.
+    """Nearest E8 points of rows of eight numbers, and the next nearest ones beside them, both doubled.
 
     E8 is D8 together with D8 moved by one half in every coordinate.
     """
     whole, half = _nearest_d8(x), _nearest_d8(x - 0.5) + 0.5
     first = ((x - whole) ** 2).sum(axis=-1) <= ((x - half) ** 2).sum(axis=-1)
-    pick = first[..., None]
-    return (2 * np.where(pick, whole, half)).astype(np.int64), (2 * np.where(pick, half, whole)).astype(np.int64)
+    near = np.where(first[..., None], whole, half)
+    return (2 * near).astype(np.int64), (2 * (near + _root_towards(x - near))).astype(np.int64)
 
 
 def _hashed(points: np.ndarray, salt: int) -> np.ndarray:
@@ -205,11 +218,11 @@ def _compared(group: pa.Table) -> pa.Table:
         used, inverse = np.unique(np.concatenate([x, y]), return_inverse=True)
         homes, probes = _all_cells([packed[k] for k in used])
         u, v = inverse[: len(x)], inverse[len(x) :]
-        for a in range(0, len(x), 20_000):
-            p, q = u[a : a + 20_000], v[a : a + 20_000]
-            here = _first_shared(homes[p], probes[p], homes[q], probes[q]) == at[a : a + 20_000]
-            np.add.at(links, x[a : a + 20_000][here], copies[y[a : a + 20_000][here]])
-            np.add.at(links, y[a : a + 20_000][here], copies[x[a : a + 20_000][here]])
+        for a in range(0, len(x), PAIRS_AT_ONCE):
+            p, q = u[a : a + PAIRS_AT_ONCE], v[a : a + PAIRS_AT_ONCE]
+            here = _first_shared(homes[p], probes[p], homes[q], probes[q]) == at[a : a + PAIRS_AT_ONCE]
+            np.add.at(links, x[a : a + PAIRS_AT_ONCE][here], copies[y[a : a + PAIRS_AT_ONCE][here]])
+            np.add.at(links, y[a : a + PAIRS_AT_ONCE][here], copies[x[a : a + PAIRS_AT_ONCE][here]])
         label = _block_labels(len(packed), [(x, y)])
     back = list(number)
     return pa.table({

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 from collections import Counter
 
@@ -150,6 +151,28 @@ def test_recall_of_the_index():
     assert (lattice_dedup._first_shared(*one, *two) < np.iinfo(np.int64).max).mean() >= 0.9
 
 
+@pytest.mark.parametrize(("low", "high"), [(0.9, 0.901), (0.9, 0.91), (0.91, 0.92), (0.92, 0.93)])
+def test_recall_at_the_threshold(low, high):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    v = rng.normal(size=a.shape)
+    v -= (v * a).sum(axis=1, keepdims=True) * a
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    cosines = rng.uniform(low, high, 3000)[:, None]
+    one, two = lattice_dedup.cells(a), lattice_dedup.cells(cosines * a + np.sqrt(1 - cosines**2) * v)
+    assert (lattice_dedup._first_shared(*one, *two) < np.iinfo(np.int64).max).mean() >= 0.99
+
+
+def test_probed_points_are_the_second_nearest():
+    x = np.random.default_rng(4).normal(0, 1, (200, 8))
+    near, other = lattice_dedup.e8_points(x)
+    whole = [p for p in itertools.product((-2, 0, 2), repeat=8) if sum(map(abs, p)) == 4]
+    roots = np.array(whole + [p for p in itertools.product((-1, 1), repeat=8) if sum(p) % 4 == 0])
+    far = (((near[:, None] + roots) / 2 - x[:, None]) ** 2).sum(axis=2).min(axis=1)
+    assert len(roots) == 240 and np.allclose(((other / 2 - x) ** 2).sum(axis=1), far)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(40, 41), (41, 40), (42, 42), (None, 3)]
     found = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
