@@ -25,7 +25,9 @@ from tallyfield.llm.common import bounded_sample, slices, table
 
 # Elements of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "select")
+# Elements whose inside is no markup, and others that are never main text.
+RAW = ("script", "style", "textarea", "iframe")
+HIDDEN = ("svg", "object", "select", "noscript", "template")
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var br wbr img".split()
@@ -88,6 +90,49 @@ class Page:
     runs: list[tuple[int, str]] = field(default_factory=list)
 
 
+def _raw_end(source: str, tag: str, position: int) -> int:
+    """End of a raw element that opens before ``position``.
+
+    Script and style go on to the end of the page without a closing tag, as in browsers. The others
+    are empty if nothing closes them before the next one opens.
+    """
+    found = re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.IGNORECASE)
+    if tag in ("script", "style"):
+        closing = next((m for m in found.finditer(source, position) if m.group(1)), None)
+        return closing.end() if closing else len(source)
+    following = found.search(source, position)
+    return following.end() if following and following.group(1) else position
+
+
+def _hidden_ends(source: str) -> dict[int, int]:
+    """Ends of the hidden elements that are closed, by the place after their opening tag.
+
+    Block elements end a drawing or a list of options that is still open, except in a foreignObject.
+    """
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    position = 0
+    while found := TOKEN.search(source, position):
+        position = found.end()
+        closing, tag, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+        tag = (tag or "").lower()
+        if tag in HIDDEN or tag == "foreignobject":
+            if not closing:
+                if not attributes.endswith("/"):
+                    stack.append((tag, position))
+                continue
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag), None)
+            if depth is not None:
+                ends[stack[depth][1]] = position
+                del stack[depth:]
+        elif tag in RAW and not closing:
+            position = position if attributes.endswith("/") and tag not in ("script", "style") else _raw_end(source, tag, position)
+        elif tag in CLOSES_P and tag != "hr" and not closing:
+            while stack and stack[-1][0] in ("svg", "select"):
+                stack.pop()
+    return ends
+
+
 def parsed(source: str) -> Page:
     """The block tree of a page, however broken its markup is."""
     page = Page([Node("#page", -1)])
@@ -96,6 +141,7 @@ def parsed(source: str) -> Page:
     stack = [("#page", 0)]
     links, at, position = 0, 0, 0
     waiting: list[str] = []
+    hidden: dict[int, int] | None = None
 
     def flush() -> None:
         if waiting:
@@ -141,8 +187,12 @@ def parsed(source: str) -> Page:
                 close(depth)
             continue
         if tag in RAW:
-            flush_after = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, position)
-            at = position = flush_after.end() if flush_after else end
+            if tag in ("script", "style") or not attributes.endswith("/"):
+                at = position = _raw_end(source, tag, position)
+            continue
+        if tag in HIDDEN:
+            hidden = _hidden_ends(source) if hidden is None else hidden
+            at = position = hidden.get(position, position)
             continue
         if tag in INLINE:
             if tag == "br":

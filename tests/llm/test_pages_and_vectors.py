@@ -103,6 +103,25 @@ def test_text_of_a_page(model):
     assert model.text(page) == "Title & more\n\nFirst <b> text.\n\nSecond paragraph, with a sentence. And one more."
 
 
+@pytest.mark.parametrize("before", [
+    "<svg class=icon/>", "<svg class='icon' />", "<svg><path d='M0'>", "<select><option>One<option>Two", "<object data=x>", "<object data=x />",
+    "<noscript>", "<template>", "<iframe src=x>", "<iframe src=x />", "<textarea>", "<svg><path d='M0'/><svg><text>No</text></svg>",
+])
+@pytest.mark.parametrize("after", ["", "<svg><text>No</text></svg><select><option>No</select><iframe>No</iframe><object>No</object><textarea>No</textarea>"])
+def test_unclosed_elements_cut_nothing(before, after):
+    page = f"<html><body><div>{before}</div><article><h1>Title</h1><p>First text, with a sentence.</p></article><footer>{after}Foot</footer></body></html>"
+    text = " ".join(raw for _, raw in html_extract.parsed(page).runs)
+    assert "Title" in text and "First text, with a sentence." in text and "Foot" in text and "No" not in text
+
+
+def test_closed_elements_are_dropped_whole():
+    page = (
+        "<p>a</p><svg><svg><text>No</text></svg><text>No</text></svg><p>b</p><svg><foreignObject><p>No</p></foreignObject></svg>"
+        "<object>No<object>No</object>No</object><noscript><p>No</p></noscript><script>'<svg>'</script><p>c</p><!-- <svg> --><p>d</p>"
+    )
+    assert [raw for _, raw in html_extract.parsed(page).runs] == ["a", "b", "c", "d"]
+
+
 def test_odd_pages(spark, model):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<<p<"), (4, "w", "<div>" * 3000), (None, "x", "</p></b>")], "page_id long, url string, html string")
     rows = html_extract.extracted(pages, model).collect()
