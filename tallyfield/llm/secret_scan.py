@@ -32,6 +32,9 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 HAS_BOTH = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])")
 
 LEFT, BODY, RIGHT = 24, 40, 8
+# Longer candidates are read in pieces of BODY characters that begin so far apart; one with less of a
+# secret than KNOWN_PART teaches nothing.
+STRIDE, KNOWN_PART = 20, 14
 WIDTH, EMBEDDED, FILTERS, KERNEL = LEFT + BODY + RIGHT, 8, 16, 5
 # Training reads at most this many documents and generates this many findings of each label.
 SAMPLE_DOCS, GENERATED = 4000, 1500
@@ -62,6 +65,12 @@ def window(text: str, start: int, end: int) -> np.ndarray:
     return out
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """Overlapping spans of at most ``BODY`` characters that cover a candidate."""
+    last = max(start, end - BODY)
+    return [(at, min(end, at + BODY)) for at in [*range(start, last, STRIDE), last]]
+
+
 @dataclass
 class Network:
     """Embedding, one convolution, the largest activation per region, a linear layer, calibration."""
@@ -99,7 +108,18 @@ class Network:
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probabilities."""
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -50, 50)))
+        return self.probabilities(self.logits(x))
+
+    def probabilities(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -50, 50)))
+
+    def largest(self, text_spans: list[tuple[str, int, int]]) -> np.ndarray:
+        """The largest logit over the pieces of each candidate (text, start, end)."""
+        out = np.full(len(text_spans), -np.inf)
+        for first in range(0, len(text_spans), 1024):
+            cut = [(i, t, a, b) for i, (t, s, e) in enumerate(text_spans[first : first + 1024], first) for a, b in pieces(s, e)]
+            np.maximum.at(out, [i for i, *_ in cut], self.logits(np.stack([window(t, a, b) for _, t, a, b in cut])))
+        return out
 
     def _gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         patches, places, pooled, logit = self._forward(x)
@@ -134,14 +154,13 @@ class Network:
                     move = first[n] / (1 - 0.9**step) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
                     setattr(self, n, getattr(self, n) - rate * move)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Fit scale and shift of the logit, then take the highest threshold with the wanted recall."""
-        z = self.logits(x)
+    def calibrate(self, z: np.ndarray, y: np.ndarray, recall: float) -> None:
+        """Fit scale and shift of the logits, then take the highest threshold with the wanted recall."""
         for _ in range(500):
             p = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -50, 50)))
             self.scale -= 0.05 * float(((p - y) * z).mean())
             self.shift -= 0.5 * float((p - y).mean())
-        positives = np.sort(self.scores(x)[y == 1])
+        positives = np.sort(self.probabilities(z)[y == 1])
         missable = int(np.floor((1 - recall) * len(positives)))
         self.threshold = float(positives[missable]) if len(positives) else 0.5
 
@@ -190,6 +209,19 @@ def generated_findings(words: list[str], n: int, seed: int = SEED) -> list[tuple
     return out
 
 
+def late_findings(words: list[str], n: int, seed: int = SEED + 1) -> list[tuple[str, int, int, int, int]]:
+    """(text, start, end, label, start of the secret) of long made-up runs, half of them with a secret late in them."""
+    rng = random.Random(seed)
+    made = generated_findings(words, n, seed)
+    out = []
+    for text, start, end, label in made:
+        lead = ""
+        while len(lead) < rng.randint(24, 90):
+            lead += (re.sub(r"[^A-Za-z]", "", rng.choice(words)).lower() or "item") + rng.choice(("", "", str(rng.randint(1, 99)))) + rng.choice("////-_.=")
+        out.append((text[:start] + lead + text[start:], start, end + len(lead), label, start + len(lead)))
+    return out
+
+
 def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label) of the candidates in real texts: 1 inside a base finding, else 0."""
     out = []
@@ -204,14 +236,22 @@ def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
 def train(texts: list[str], recall: float = RECALL) -> Network:
     """A calibrated network from labelled findings in the texts and generated ones among their words."""
     words = [w for t in texts[:400] for w in t.split()[:200]] or ["text"]
-    found = labelled_findings(texts) + generated_findings(words, GENERATED)
-    x = np.stack([window(t, s, e) for t, s, e, _ in found])
-    y = np.array([label for *_, label in found], float)
+    found = [(t, s, e, label, s) for t, s, e, label in labelled_findings(texts) + generated_findings(words, GENERATED)]
+    found += late_findings(words, GENERATED)
+    y = np.array([label for _, _, _, label, _ in found], float)
     rng = np.random.default_rng(SEED)
     held = rng.random(len(y)) < 0.25
+    x, taught = [], []
+    for (t, s, e, label, secret), out in zip(found, held, strict=True):
+        for a, b in [] if out else pieces(s, e):
+            part = min(b - secret, e - secret) if label else 0
+            if not label or part >= min(KNOWN_PART, e - secret) or part <= 0:
+                x.append(window(t, a, b))
+                taught.append(float(part > 0))
     network = Network.new(rng)
-    network.fit(x[~held], y[~held], rng)
-    network.calibrate(x[held], y[held], recall)
+    network.fit(np.stack(x), np.array(taught), rng)
+    out = np.flatnonzero(held)
+    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], recall)
     return network
 
 
@@ -225,12 +265,11 @@ def _findings(texts: list[str], network: Network) -> list[list[tuple[int, int, i
     for i, text in enumerate(texts):
         for start, end in candidates(text):
             if not any(b < end and start < e for b, _, e in found[i]):
-                asked.append(window(text, start, end))
-                where.append((i, start, end))
-    if asked:
-        for (i, start, end), score in zip(where, network.scores(np.stack(asked)), strict=True):
-            if score >= network.threshold:
-                found[i].append((start, 3, end))
+                asked.append((text, start, end))
+                where.append(i)
+    for i, (_, start, end), score in zip(where, asked, network.probabilities(network.largest(asked)), strict=True):
+        if score >= network.threshold:
+            found[i].append((start, 3, end))
     return [sorted(f) for f in found]
 
 

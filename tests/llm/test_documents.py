@@ -219,6 +219,30 @@ def test_scan_learns_and_masks(docs):
     assert out[60]["text"] is None
 
 
+@pytest.fixture(scope="module")
+def network():
+    return secret_scan.train(["alpha beta gamma delta report guide section index archive", "one two three"])
+
+
+def test_pieces_cover_the_candidate():
+    for n in (1, 39, 40, 41, 60, 61, 200):
+        spans = secret_scan.pieces(7, 7 + n)
+        assert spans[0][0] == 7 and spans[-1][1] == 7 + n and all(0 < b - a <= secret_scan.BODY for a, b in spans)
+        assert all(c < b for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_secrets_late_in_a_run_are_found(network):
+    made = secret_scan.late_findings(["alpha", "beta", "gamma", "delta"], 200, seed=77)
+    hits = {0: [], 1: []}
+    for text, start, end, label, secret in made:
+        base = secret_scan.base_findings(text)
+        if not any(b < end and start < e for b, _, e in base):
+            hits[label].append(any(s <= secret < e for s, k, e in secret_scan.findings(text, network) if k == 3))
+    assert np.mean(hits[1]) > 0.9 and np.mean(hits[0]) < 0.1
+    text = "see docs/guide/archive/section/index/reset/report/Zq8Lw3Xn5Rt7Vb2Ky9Mc4Hd6Pf1Gs0 for more"
+    assert any(k == 3 for _, k, _ in secret_scan.findings(text, network))
+
+
 def test_bpe_is_that_of_the_library(docs):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.vocabulary_file())
