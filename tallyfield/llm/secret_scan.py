@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and a convolutional network over characters.
 
 The patterns give the base findings. The network reads every other candidate (a run of token
-characters with letters and digits) with its surroundings; it is trained in numpy on labelled
+characters with letters and digits, a shorter or plainer one beside a credential word, and what a
+base finding leaves of its run) with its surroundings; it is trained in numpy on labelled
 findings, its logits are calibrated on a held-out part, and the threshold is the highest one
 that keeps the wanted recall there.
 """
@@ -30,6 +31,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 HAS_BOTH = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])")
+# What a credential word introduces is a candidate from SHORT characters on, of whatever characters.
+SHORT = 6
+CREDENTIAL = re.compile(
+    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|login|bearer|(?:(?:api|access|private|secret)[ _-]?)?key)["']?"""
+    r"""(?:\x20{0,4}[:=]\x20{0,4}|\x20is\x20)["']?([A-Za-z0-9+/_=.~-]{6,})""",
+    re.ASCII | re.IGNORECASE,
+)
+TOKEN_CHARS = frozenset(string.ascii_letters + string.digits + "+/_=.~-")
 
 LEFT, BODY, RIGHT = 24, 40, 8
 # Longer candidates are read in pieces of BODY characters that begin so far apart; one with less of a
@@ -50,9 +59,53 @@ def base_findings(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of token characters that hold a letter and a digit."""
-    return [m.span() for m in CANDIDATE.finditer(text) if HAS_BOTH.match(m.group())]
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
+    """(start, end, near) of the runs of token characters to be judged, apart from the base findings.
+
+    Runs of 12 characters with a letter and a digit are candidates anywhere; others of ``SHORT``
+    characters where they are ``near``: introduced by a credential word, or what a base finding
+    leaves of its run.
+    """
+    covered: list[list[int]] = []
+    for start, end in sorted((s, e) for s, _, e in base):
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    # What the base findings leave of their runs, to the left and the right.
+    found, done = set(), 0
+    for i, (start, end) in enumerate(covered):
+        a, b, stop = start, end, covered[i + 1][0] if i + 1 < len(covered) else len(text)
+        while a > done and text[a - 1] in TOKEN_CHARS:
+            a -= 1
+        while b < stop and text[b] in TOKEN_CHARS:
+            b += 1
+        found |= {(a, start), (end, b)}
+        done = end
+    touched = [(s, e) for s, e in found if e - s >= SHORT]
+    values, at = [], 0
+    for m in CREDENTIAL.finditer(text):
+        start, end = m.span(1)
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        if at == len(covered) or end <= covered[at][0]:
+            values.append((start, end))
+    # A run that a credential word divides is judged in two parts.
+    wanted, at = set(touched) | set(values), 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        if (at == len(covered) or end <= covered[at][0]) and HAS_BOTH.match(m.group()):
+            inside = [s for s, _ in values if start < s < end] if values else []
+            wanted.add((start, min(inside, default=end)))
+    out = []
+    near = set(touched) | set(values)
+    for start, end in sorted(wanted):
+        only_near = is_near(text, start, end)
+        if not only_near or (start, end) in near:
+            out.append((start, end, only_near))
+    return out
 
 
 def window(text: str, start: int, end: int) -> np.ndarray:
@@ -83,6 +136,7 @@ class Network:
     scale: float = 1.0
     shift: float = 0.0
     threshold: float = 0.5
+    near_threshold: float = 0.5
 
     REGIONS = ((0, LEFT), (LEFT, LEFT + BODY - KERNEL + 1), (LEFT + BODY - KERNEL + 1, WIDTH - KERNEL + 1))
 
@@ -154,15 +208,17 @@ class Network:
                     move = first[n] / (1 - 0.9**step) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
                     setattr(self, n, getattr(self, n) - rate * move)
 
-    def calibrate(self, z: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Fit scale and shift of the logits, then take the highest threshold with the wanted recall."""
+    def calibrate(self, z: np.ndarray, y: np.ndarray, near: np.ndarray, recall: float) -> None:
+        """Fit scale and shift of the logits, then take the highest thresholds with the wanted recall."""
         for _ in range(500):
             p = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -50, 50)))
             self.scale -= 0.05 * float(((p - y) * z).mean())
             self.shift -= 0.5 * float((p - y).mean())
-        positives = np.sort(self.probabilities(z)[y == 1])
-        missable = int(np.floor((1 - recall) * len(positives)))
-        self.threshold = float(positives[missable]) if len(positives) else 0.5
+        self.threshold, self.near_threshold = (self._keeping(z[(y == 1) & which], recall) for which in (~near, near))
+
+    def _keeping(self, z: np.ndarray, recall: float) -> float:
+        positives = np.sort(self.probabilities(z))
+        return float(positives[int(np.floor((1 - recall) * len(positives)))]) if len(positives) else 0.5
 
 
 def generated_findings(words: list[str], n: int, seed: int = SEED) -> list[tuple[str, int, int, int]]:
@@ -222,22 +278,72 @@ def late_findings(words: list[str], n: int, seed: int = SEED + 1) -> list[tuple[
     return out
 
 
+def near_findings(words: list[str], n: int, seed: int = SEED + 2) -> list[tuple[str, int, int, int]]:
+    """(text, start, end, label) of made-up candidates beside credential words and base findings."""
+    rng = random.Random(seed)
+    alnum, hexa = string.ascii_letters + string.digits, "0123456789abcdef"
+    plain = sorted({w.lower() for w in words if w.isascii() and w.isalpha() and len(w) > 1}) or ["item"]
+    names = ("pwd", "passphrase", "passcode", "pin", "key", "access key", "private key", "credential", "auth", "login", "bearer", "pass")
+    said = ("required", "optional", "string", "undefined", "unknown", "missing", "invalid", "changed", "important", "disabled", "expired", "example", "placeholder")
+
+    def run(letters: str, low: int, high: int) -> str:
+        return "".join(rng.choices(letters, k=rng.randint(low, high)))
+
+    secrets = (
+        lambda: run(alnum, 6, 11), lambda: run(string.ascii_letters, 8, 24), lambda: run(string.digits, 6, 16),
+        lambda: "".join(rng.choices(plain, k=rng.randint(2, 4))), lambda: "-".join(rng.choices(plain, k=4)),
+        lambda: rng.choice(plain).replace("o", "0").replace("e", "3").replace("i", "1") + run(string.digits, 2, 5),
+    )
+    harmless = (
+        lambda: rng.choice(said), lambda: rng.choice(plain), lambda: f"{rng.choice(plain)}.{rng.choice(said)}",
+        lambda: f"your_{rng.choice(plain)}_here", lambda: f"config.{rng.choice(plain)}", lambda: f"get_{rng.choice(plain)}",
+    )
+    out = []
+    while len(out) < 2 * n:
+        label, left = len(out) % 2, " ".join(rng.choices(words, k=4)) + " "
+        if rng.random() < 0.3:
+            rest = run(alnum, 8, 24) if label else rng.choice("/.-") + f"{rng.choice(plain)}/{rng.choice(plain)}"
+            if rng.random() < 0.5:
+                left += rng.choice(("token=", "secret: ", "api_key=")) + run(alnum, 6, 12) + "~"
+            elif rng.random() < 0.5:
+                left += run(alnum if label else "-", 0, 12) + run(hexa, 24, 32)
+                rest = rest if label else "." + rest[1:]
+            else:
+                out_left = left + (run(string.ascii_uppercase, 1, 3) + run(alnum, 6, 20) + rng.choice("GHKXYZ") if label else f"{rng.choice(plain)}/{rng.choice(plain)}/")
+                if len(out_left) - len(left) >= SHORT:
+                    out.append((out_left + run(hexa, 24, 32) + " end", len(left), len(out_left), label))
+                continue
+        else:
+            left += rng.choice(names) + rng.choice((": ", "=", " = ", ":", ' = "', " is "))
+            rest = rng.choice(secrets if label else harmless)()
+        if len(rest) >= SHORT:
+            out.append((left + rest + " " + " ".join(rng.choices(words, k=3)), len(left), len(left) + len(rest), label))
+    return out
+
+
 def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label) of the candidates in real texts: 1 inside a base finding, else 0."""
     out = []
     for text in texts:
         base = base_findings(text)
-        for start, end in candidates(text):
-            hit = any(b < end and start < e for b, _, e in base)
-            out.append((text, start, end, int(hit)))
+        for m in CANDIDATE.finditer(text):
+            if HAS_BOTH.match(m.group()):
+                hit = any(b < m.end() and m.start() < e for b, _, e in base)
+                out.append((text, *m.span(), int(hit)))
     return out
 
 
+def is_near(text: str, start: int, end: int) -> bool:
+    """Whether only its surroundings make a run a candidate."""
+    return end - start < 12 or not HAS_BOTH.match(text[start:end])
+
+
 def train(texts: list[str], recall: float = RECALL) -> Network:
     """A calibrated network from labelled findings in the texts and generated ones among their words."""
     words = [w for t in texts[:400] for w in t.split()[:200]] or ["text"]
     found = [(t, s, e, label, s) for t, s, e, label in labelled_findings(texts) + generated_findings(words, GENERATED)]
     found += late_findings(words, GENERATED)
+    found += [(t, s, e, label, s) for t, s, e, label in near_findings(words, GENERATED)]
     y = np.array([label for _, _, _, label, _ in found], float)
     rng = np.random.default_rng(SEED)
     held = rng.random(len(y)) < 0.25
@@ -251,7 +357,7 @@ def train(texts: list[str], recall: float = RECALL) -> Network:
     network = Network.new(rng)
     network.fit(np.stack(x), np.array(taught), rng)
     out = np.flatnonzero(held)
-    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], recall)
+    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], np.array([is_near(*found[i][:3]) for i in out], bool), recall)
     return network
 
 
@@ -263,12 +369,11 @@ def findings(text: str, network: Network) -> list[tuple[int, int, int]]:
 def _findings(texts: list[str], network: Network) -> list[list[tuple[int, int, int]]]:
     found, asked, where = [base_findings(t) for t in texts], [], []
     for i, text in enumerate(texts):
-        for start, end in candidates(text):
-            if not any(b < end and start < e for b, _, e in found[i]):
-                asked.append((text, start, end))
-                where.append(i)
-    for i, (_, start, end), score in zip(where, asked, network.probabilities(network.largest(asked)), strict=True):
-        if score >= network.threshold:
+        for start, end, near in candidates(text, found[i]):
+            asked.append((text, start, end))
+            where.append((i, network.near_threshold if near else network.threshold))
+    for (i, least), (_, start, end), score in zip(where, asked, network.probabilities(network.largest(asked)), strict=True):
+        if score >= least:
             found[i].append((start, 3, end))
     return [sorted(f) for f in found]
 

@@ -243,6 +243,23 @@ def test_secrets_late_in_a_run_are_found(network):
     assert any(k == 3 for _, k, _ in secret_scan.findings(text, network))
 
 
+def test_candidates_beside_findings_and_credential_words():
+    key = "Ab9Kx2Qw" + "0af3" * 6 + "ZqLw3Xn5"
+    for text, wanted in (
+        ("token=abc123~9fK2xQ7LmP0sVt", ["~9fK2xQ7LmP0sVt"]), (f"x {key} y", ["Ab9Kx2Qw", "ZqLw3Xn5"]),
+        ("pwd: tr0ub4dor", ["tr0ub4dor"]), ("passphrase: correcthorsebattery", ["correcthorsebattery"]), ("pin=12345678", ["12345678"]),
+        ("an ordinary sentence, with abc123 and index.html in it", []), ("run=ab12cd34ef56", ["run=ab12cd34ef56"]),
+    ):
+        got = secret_scan.candidates(text, secret_scan.base_findings(text))
+        assert [text[s:e] for s, e, _ in got] == wanted
+
+
+def test_secrets_beside_findings_and_credential_words_are_found(network):
+    for text in ("token=abc123~9fK2xQ7LmP0sVt", "x pwd: tr0ub4dor", "my passphrase: correcthorsebattery"):
+        found = secret_scan.findings(text, network)
+        assert max(e for *_, e in found) == len(text), text
+
+
 def test_bpe_is_that_of_the_library(docs):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.vocabulary_file())
