@@ -2,9 +2,9 @@
 
 The patterns give the base findings. The network reads every other candidate (a run of token
 characters with letters and digits, a shorter or plainer one beside a credential word, and what a
-base finding leaves of its run) with its surroundings; it is trained in numpy on labelled
-findings, its logits are calibrated on a held-out part, and the threshold is the highest one
-that keeps the wanted recall there.
+base finding leaves of its run) with its surroundings; it is trained in numpy on generated
+findings and plainly harmless real candidates, its logits are calibrated on a held-out part, and the thresholds are the highest ones
+that keep the wanted recall there for every kind of secret that the patterns miss.
 """
 
 from __future__ import annotations
@@ -38,6 +38,9 @@ CREDENTIAL = re.compile(
     r"""(?:\x20{0,4}[:=]\x20{0,4}|\x20is\x20)["']?([A-Za-z0-9+/_=.~-]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
+# A word that stands by itself, and the words and numbers of a run.
+PLAIN = re.compile(r"(?<!\S)[A-Za-z][a-z]{1,19}(?=[\s.,;:!?]|\Z)")
+PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 TOKEN_CHARS = frozenset(string.ascii_letters + string.digits + "+/_=.~-")
 
 LEFT, BODY, RIGHT = 24, 40, 8
@@ -180,15 +183,16 @@ class Network:
         d = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - y) / len(y)
         d_pooled = d[:, None] * self.weights[None, :] * (pooled > 0)
         d_kernel, d_bias = np.zeros_like(self.kernel), d_pooled.reshape(len(y), 3, FILTERS).sum(axis=(0, 1))
-        d_embedding = np.zeros_like(self.embedding)
-        rows = np.arange(len(y))
+        codes, backs, rows = [], [], np.arange(len(y))
         for r, place in enumerate(places):
             for f in range(FILTERS):
                 g, p = d_pooled[:, r * FILTERS + f], place[:, f]
                 d_kernel[:, f] += patches[rows, p].T @ g
                 back = g[:, None] * self.kernel[:, f][None, :]
-                for k in range(KERNEL):
-                    np.add.at(d_embedding, x[rows, p + k], back[:, k * EMBEDDED : (k + 1) * EMBEDDED])
+                codes.append(x[rows[:, None], p[:, None] + np.arange(KERNEL)].ravel())
+                backs.append(back.reshape(-1, EMBEDDED))
+        codes, backs = np.concatenate(codes), np.concatenate(backs)
+        d_embedding = np.stack([np.bincount(codes, backs[:, d], len(self.embedding)) for d in range(EMBEDDED)], axis=1)
         return [d_embedding, d_kernel, d_bias, pooled.T @ d, d.sum()]
 
     def fit(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, epochs: int = 12, rate: float = 0.01) -> None:
@@ -208,13 +212,15 @@ class Network:
                     move = first[n] / (1 - 0.9**step) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
                     setattr(self, n, getattr(self, n) - rate * move)
 
-    def calibrate(self, z: np.ndarray, y: np.ndarray, near: np.ndarray, recall: float) -> None:
-        """Fit scale and shift of the logits, then take the highest thresholds with the wanted recall."""
+    def calibrate(self, z: np.ndarray, y: np.ndarray, near: np.ndarray, kind: np.ndarray, recall: float) -> None:
+        """Fit scale and shift of the logits, then take the highest thresholds with the wanted recall in every kind."""
         for _ in range(500):
             p = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -50, 50)))
             self.scale -= 0.05 * float(((p - y) * z).mean())
             self.shift -= 0.5 * float((p - y).mean())
-        self.threshold, self.near_threshold = (self._keeping(z[(y == 1) & which], recall) for which in (~near, near))
+        self.threshold, self.near_threshold = (
+            min([self._keeping(z[(y == 1) & which & (kind == k)], recall) for k in np.unique(kind[(y == 1) & which])], default=0.5) for which in (~near, near)
+        )
 
     def _keeping(self, z: np.ndarray, recall: float) -> float:
         positives = np.sort(self.probabilities(z))
@@ -322,14 +328,21 @@ def near_findings(words: list[str], n: int, seed: int = SEED + 2) -> list[tuple[
 
 
 def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
-    """(text, start, end, label) of the candidates in real texts: 1 inside a base finding, else 0."""
+    """(text, start, end, 0) of the candidates in real texts that are plainly harmless.
+
+    These are made of words of the texts and numbers of at most four digits, and no credential word
+    introduces them. All others are unlabelled and left out, since a secret may be among them; so
+    are base findings, which the network is never asked about.
+    """
+    known = {w.lower() for t in texts for w in PLAIN.findall(t)}
     out = []
     for text in texts:
         base = base_findings(text)
-        for m in CANDIDATE.finditer(text):
-            if HAS_BOTH.match(m.group()):
-                hit = any(b < m.end() and m.start() < e for b, _, e in base)
-                out.append((text, *m.span(), int(hit)))
+        said = {m.start(1) for m in CREDENTIAL.finditer(text)}
+        for start, end, near in candidates(text, base):
+            beside = near or start in said or any(start == e or end == b for b, _, e in base)
+            if not beside and all(p.lower() in known or (p.isdigit() and len(p) < 5) for p in PIECE.findall(text[start:end])):
+                out.append((text, start, end, 0))
     return out
 
 
@@ -341,9 +354,11 @@ def is_near(text: str, start: int, end: int) -> bool:
 def train(texts: list[str], recall: float = RECALL) -> Network:
     """A calibrated network from labelled findings in the texts and generated ones among their words."""
     words = [w for t in texts[:400] for w in t.split()[:200]] or ["text"]
-    found = [(t, s, e, label, s) for t, s, e, label in labelled_findings(texts) + generated_findings(words, GENERATED)]
-    found += late_findings(words, GENERATED)
-    found += [(t, s, e, label, s) for t, s, e, label in near_findings(words, GENERATED)]
+    parts = [
+        [(t, s, e, label, s) for t, s, e, label in labelled_findings(texts)], [(t, s, e, label, s) for t, s, e, label in generated_findings(words, GENERATED)],
+        late_findings(words, GENERATED), [(t, s, e, label, s) for t, s, e, label in near_findings(words, GENERATED)],
+    ]
+    found, kind = [f for part in parts for f in part], np.repeat(np.arange(len(parts)), [len(part) for part in parts])
     y = np.array([label for _, _, _, label, _ in found], float)
     rng = np.random.default_rng(SEED)
     held = rng.random(len(y)) < 0.25
@@ -356,11 +371,18 @@ def train(texts: list[str], recall: float = RECALL) -> Network:
                 taught.append(float(part > 0))
     network = Network.new(rng)
     network.fit(np.stack(x), np.array(taught), rng)
-    out = np.flatnonzero(held)
-    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], np.array([is_near(*found[i][:3]) for i in out], bool), recall)
+    # Base findings reach no threshold: the network is asked about other candidates only.
+    out = np.array([i for i in np.flatnonzero(held) if not covered(*found[i][:3])])
+    near = np.array([is_near(*found[i][:3]) for i in out], bool)
+    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], near, kind[out], recall)
     return network
 
 
+def covered(text: str, start: int, end: int) -> bool:
+    """Whether a base finding has part of a candidate."""
+    return any(b < end and start < e for b, _, e in base_findings(text))
+
+
 def findings(text: str, network: Network) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base findings and of the candidates apart from them that the network takes."""
     return _findings([text], network)[0]

@@ -260,6 +260,20 @@ def test_secrets_beside_findings_and_credential_words_are_found(network):
         assert max(e for *_, e in found) == len(text), text
 
 
+def test_real_candidates_teach_only_what_is_plainly_harmless():
+    text = "the guide of the index, see guide-index-12 or ghp_a8Kx2QwZ7mLp0sVtB4nR or token=abcdef123456 and key: guide-index-13"
+    assert [text[s:e] for _, s, e, label in secret_scan.labelled_findings([text]) if label == 0] == ["guide-index-12"]
+    assert not any(label for *_, label in secret_scan.labelled_findings([text]))
+
+
+def test_base_findings_do_not_set_the_threshold(monkeypatch):
+    asked = []
+    monkeypatch.setattr(secret_scan.Network, "fit", lambda *_: None)
+    monkeypatch.setattr(secret_scan.Network, "largest", lambda _, spans: asked.extend(spans) or np.zeros(len(spans)))
+    secret_scan.train(["alpha beta gamma token=Zx81kQ9mLw2 " * 50])
+    assert len(asked) > 1000 and not any(secret_scan.covered(*a) for a in asked)
+
+
 def test_bpe_is_that_of_the_library(docs):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.vocabulary_file())
