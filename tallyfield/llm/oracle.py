@@ -74,4 +74,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
-SQL = {"op1_minhash_dedup": OP1, "op2_lattice_dedup": OP2, "op4_warc": OP4, "op10_quality_rules": OP10}
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+)
+SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  first_value(doc_id) OVER stays AS keep_id, row_number() OVER stays = 1 AS kept
+FROM d WINDOW stays AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+a AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v)::HUGEINT AS p FROM s JOIN v USING (lang)),
+l AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+b AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v)::HUGEINT AS q FROM l JOIN v USING (lang)),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM a AS x JOIN a AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+  FROM g AS x JOIN g AS y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pairs ON pairs.lang = x.lang AND pairs.source = x.source AND pairs.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM a JOIN b USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+OP13 = """
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS l FROM t GROUP BY c),
+z AS (SELECT c, l, c - c % 5 AS base, list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+  lambda a, b: list_reduce([xor(a, b)] || range(8), lambda m, k: CASE WHEN m % 2 = 1 THEN xor(m // 2, 3988292384) ELSE m // 2 END)) AS crc FROM o),
+h AS (SELECT c, l, base, xor(crc, 4294967295) % 9 AS h FROM z),
+w AS (SELECT h.c, coalesce(b.l[1 : h], []) || h.l[h + 1 :] AS l FROM h LEFT JOIN o AS b ON b.c = h.base),
+m AS (SELECT c, d, l[1 : d] AS k, len(l) AS n FROM (SELECT c, l, unnest(range(len(l) + 1)) AS d FROM w)),
+g AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, max(n) AS longest,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends FROM m GROUP BY k, d),
+i AS (SELECT m.c, m.d, g.conv_id AS v, g.n_convs, g.longest, CASE WHEN m.d > 0 THEN strlen(m.k[m.d].x) ELSE 0 END AS b FROM m JOIN g ON g.k = m.k AND g.d = m.d),
+u AS (SELECT DISTINCT a.v, a.d, e.v AS v2, e.d AS d2, e.n_convs, e.b, e.longest FROM i AS a JOIN i AS e ON e.c = a.c AND e.d >= a.d),
+s AS (SELECT v, d, count(*) FILTER (d2 = d + 1) AS n_children, count(*) FILTER (longest = d2) AS n_leaves, sum((n_convs - 1) * b) AS saved FROM u GROUP BY v, d),
+p AS (SELECT DISTINCT a.v, a.d, e.v AS parent FROM i AS a JOIN i AS e ON e.c = a.c AND e.d = a.d - 1)
+SELECT g.conv_id, g.d::BIGINT AS depth, parent AS parent_conv_id, g.n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM g JOIN s ON s.v = g.conv_id AND s.d = g.d LEFT JOIN p ON p.v = g.conv_id AND p.d = g.d
+"""
+
+SQL = {
+    "op1_minhash_dedup": OP1, "op2_lattice_dedup": OP2, "op4_warc": OP4, "op10_quality_rules": OP10,
+    "op11_exact_dedup": OP11, "op12_source_divergence": OP12, "op13_prefix_trie": OP13,
+}

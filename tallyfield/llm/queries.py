@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyfield.llm import (
     bpe,
     brown_lm,
+    exact_dedup,
     html_extract,
     lattice_dedup,
     minhash_dedup,
     oracle,
+    prefix_trie,
     quality_rules,
     secret_scan,
+    source_divergence,
     source_mixing,
     toxicity,
     warc,
@@ -33,6 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_bpe": bpe.op9_bpe,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+        "op12_source_divergence": source_divergence.op12_source_divergence,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
 
 

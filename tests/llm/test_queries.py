@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables n
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result, wanted = queries.queries()[name](spark, SF_DIR), duck.sql(queries.oracle_sql()[name])
     columns = sorted(result.columns)
