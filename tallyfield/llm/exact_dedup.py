@@ -53,9 +53,9 @@ def frequent_digests(prints: DataFrame, share: float = SHARE) -> DataFrame:
     """
     named = prints.freqItems(["digest"], share).select(F.explode("digest_freqItems").alias("digest"))
     named = checkpoint(named.distinct())
-    total = prints.agg(F.count("*").alias("total"))
+    least = share * prints.count()
     counted = prints.join(F.broadcast(named), "digest").groupBy("digest").agg(*_winner())
-    return checkpoint(_unpacked(counted.join(F.broadcast(total), F.col("group_size") > share * F.col("total"))))
+    return checkpoint(_unpacked(counted.where(F.col("group_size") > least)))
 
 
 def marked(docs: DataFrame, share: float = SHARE) -> DataFrame:

@@ -205,7 +205,7 @@ def test_trie_takes_another_seed(frame, monkeypatch):
             names = part.schema.names
             yield pa.RecordBatch.from_arrays([equal if n in ("f0", "f1") else part.column(n) for n in names], names=names)
 
-    rows = [(1, 0, "u", "a"), (2, 0, "u", "b"), (3, 0, "v", "a")]
+    rows = [(5, 0, "u", "a"), (10, 0, "u", "b"), (15, 0, "v", "a")]
     df = frame(rows, "conv_id long, turn long, role string, text string")
     seeds = []
     monkeypatch.setattr(prefix_trie, "_alike", lambda t, c, f=prefix_trie._alike: seeds.append(f(t, c)) or seeds[-1])
