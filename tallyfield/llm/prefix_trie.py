@@ -196,9 +196,8 @@ def trie(conversations: DataFrame, seed: int = 0) -> DataFrame:
     """
     turns, prefixes = stored_turns(conversations, seed)
     convs, rows = rebuilt(prefixes)
-    nodes = rows.groupBy(*NODE).agg(
-        F.min("conv_id").alias("owner"), F.count("*").alias("n_convs"), F.max("length").alias("longest"), F.min("ref").alias("first_ref")
-    )
+    # Stored, so that Spark can split the rows of a node that very many conversations share.
+    nodes = stored(rows.groupBy(*NODE).agg(F.min("conv_id").alias("owner"), F.max("length").alias("longest"), F.min("ref").alias("first_ref")))
     placed = stored(rows.join(nodes, NODE))
     if not _alike(turns, placed):
         return trie(conversations, seed + 1)
