@@ -25,7 +25,7 @@ from tallyfield.llm.common import slices, stored, table
 
 MIN_DOCS, TOP_TERMS, SCALE = 3, 200, 1_000_000_000
 # Terms, and bytes of a term, that the transducer sent to all tasks may hold; terms of one of the others.
-HEAD_TERMS, HEAD_BYTES, SHARD_TERMS = 1 << 17, 64, 1 << 17
+HEAD_TERMS, HEAD_BYTES, SHARD_TERMS = 1 << 17, 64, 1 << 14
 # Parts that the rows of one language are dealt to.
 SALTS = 64
 # Products of term counts by which a task compares sources at once.
