@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +10,8 @@ from pyspark.sql import types as T
 
 from tallyfield.functions.columns import flag, mean_of, ratio
 from tallyfield.operators.groups import attach_to_groups
+from tallyfield.operators.moments import moments
 
-# Digits of the integer types.
-DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
-# A sum takes ten digits more than its terms, and a decimal holds 38.
-EXACT_DIGITS = 28
 # Accuracy of Spark's percentile sketch: the rank error is at most rows/accuracy.
 ACCURACY = 10_000
 
@@ -28,16 +24,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _exact_type(kinds: Sequence[T.DataType]) -> T.DecimalType | None:
-    """A decimal that holds the values of all types exactly, if one has room for their sum."""
-    sizes = [(k.precision, k.scale) if isinstance(k, T.DecimalType) else (DIGITS.get(type(k)), 0) for k in kinds]
-    if not sizes or any(digits is None for digits, _ in sizes):
-        return None
-    scale = max(s for _, s in sizes)
-    digits = max(d - s for d, s in sizes) + scale
-    return T.DecimalType(digits, scale) if digits <= EXACT_DIGITS else None
-
-
 def preview(df: DataFrame, columns: int = 10, rows: int = 5) -> DataFrame:
     """The first columns of a few rows."""
     return df.select(*(f"`{c}`" for c in df.columns[:columns])).limit(rows)
@@ -46,37 +32,11 @@ def preview(df: DataFrame, columns: int = 10, rows: int = 5) -> DataFrame:
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column: count, mean, stddev, min, max.
 
-    The columns are unpivoted and summarised per name, which keeps the aggregate
-    small enough to be compiled; one aggregate with five functions for each of some
-    hundred columns is not. Integers and decimals are added exactly, floating-point
-    columns as doubles, each kind in one scan of its columns. Without numeric columns
-    the result is empty.
+    The columns are summarised together in one scan (``moments``). Integers and decimals are
+    added exactly, floating-point columns as doubles. Without numeric columns the result is empty.
     """
     names = list(columns if columns is not None else numeric_columns(df))
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    exact = [c for c in names if _exact_type([kinds[c]]) is not None]
-    common = _exact_type([kinds[c] for c in exact])
-    if common is None:
-        exact = []
-    rest = [c for c in names if c not in exact]
-    parts = [_summaries(df, c, kind) for c, kind in ((exact, common), (rest, T.DoubleType())) if c]
-    if not parts:
-        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _summaries(df: DataFrame, names: Sequence[str], kind: T.DataType) -> DataFrame:
-    cells = df.select(*(F.col(f"`{c}`").cast(kind).alias(c) for c in names)).unpivot(
-        [], list(names), "column_name", "value"
-    )
-    value = F.col("value")
-    return cells.groupBy("column_name").agg(
-        F.count(value).alias("n"),
-        mean_of(value).alias("mean"),
-        F.stddev(value).alias("stddev"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-    )
+    return moments(df, names) if names else df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
 
 
 def sizes(tables: Mapping[str, DataFrame]) -> DataFrame:

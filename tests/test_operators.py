@@ -318,3 +318,50 @@ def test_co_occurrence(frame):
         df, ["c"], {"day": F.col("d")}, [F.col("w").contains("Rain"), F.col("w").contains("Snow")]
     )
     assert rows_of(got) == [("c1",), ("c4",)]
+
+
+# --- moments ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [1, 2, 60])
+def test_profile_equals_sparks_aggregates(spark, n):
+    draw = random.Random(n)
+
+    def some(value):
+        return None if draw.random() < 0.2 else value
+
+    rows = [
+        (
+            some(draw.randint(-(2**63), 2**63 - 1)), some(Decimal(draw.randint(-10**11, 10**11)).scaleb(-2)),
+            some(Decimal(draw.randint(-10**23, 10**23)).scaleb(-3)), some(draw.choice([draw.uniform(-1e6, 1e6), float("nan")])),
+        )
+        for _ in range(n)
+    ]
+    df = spark.createDataFrame(rows, "i long, d decimal(12,2), w decimal(28,3), f float").repartition(3)
+    got = {r["column_name"]: r for r in stats.profile(df).collect()}
+    for c in df.columns:
+        want = df.agg(F.count(c), F.sum(F.col(c).cast("decimal(38,3)") if c != "f" else F.col(c)), F.stddev(c), F.min(c).cast("double"), F.max(c).cast("double")).first()
+        n, total, deviation, low, high = want
+        assert got[c]["n"] == n
+        assert repr((got[c]["min"], got[c]["max"])) == repr((low, high))
+        if n:
+            mean = float(total) / n
+            assert got[c]["mean"] == pytest.approx(mean, rel=1e-12, abs=1e-6, nan_ok=True)
+        if n < 2:
+            assert got[c]["stddev"] is None
+        else:
+            assert got[c]["stddev"] == pytest.approx(deviation, rel=1e-6, abs=1e-6, nan_ok=True)
+
+
+def test_profile_scans_once_and_shuffles_a_row_per_task(spark, tmp_path):
+    wide = spark.range(2000).select(*((F.col("id") * k % 97).alias(f"c{k}") for k in range(268)))
+    wide.write.parquet(str(tmp_path / "wide"))
+    profiled = stats.profile(spark.read.parquet(str(tmp_path / "wide")))
+    assert profiled.count() == 268
+    plan = profiled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Expand" not in plan
+
+
+def test_profile_of_no_rows(frame):
+    assert stats.profile(frame([], "a int, b double")).collect() == []
+    assert rows_of(stats.profile(frame([(None, 1.0)], "a int, b double"))) == [("a", 0, None, None, None, None), ("b", 1, 1.0, None, 1.0, 1.0)]
