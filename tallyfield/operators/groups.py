@@ -23,6 +23,17 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(right.withColumnsRenamed(taken), match, how).drop(*taken.values())
 
 
+def bounded(groups: DataFrame, most: int = HEAVY_GROUPS) -> DataFrame:
+    """``groups`` for a broadcast, after a check of its size: more than ``most`` rows raise an error.
+
+    For groups whose keys come from code lists. ``attach_to_groups`` has no such bound.
+    """
+    packed = groups.limit(most + 1).agg(F.collect_list(F.struct("*")).alias("rows"))
+    message = F.raise_error(F.lit(f"more than {most} groups are too many to broadcast"))
+    checked = F.when(F.size("rows") > most, message).otherwise(F.col("rows"))
+    return F.broadcast(packed.select(F.inline(checked)))
+
+
 def attach_to_groups(
     rows: DataFrame,
     groups: DataFrame,

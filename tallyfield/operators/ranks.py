@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyfield.operators.groups import HEAVY_GROUPS, attach_to_groups, null_safe_join
+from tallyfield.operators.groups import null_safe_join
 
-BIN = "value_bin"
-# More rows than this in one bin are too many for one task to sort.
-HEAVY_BIN_ROWS = 5_000_000
-# The distinct values of such a bin are ranked in this many parts.
-PARTS = 256
+# Groups of up to this many rows are sorted by one task each.
+HEAVY_GROUP_ROWS = 1_000_000
+# Of the others, this many at most are cut, each into this many parts.
+HEAVY_GROUPS, PARTS = 256, 128
 METHODS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -55,93 +54,57 @@ def rank_rows(
     keys: Sequence[str],
     value: str,
     name: str = "rank",
-    bins_per_e: int = 1024,
-    heavy_rows: int = HEAVY_BIN_ROWS,
-    heavy_bins: int = HEAVY_GROUPS,
+    heavy_rows: int = HEAVY_GROUP_ROWS,
+    heavy_groups: int = HEAVY_GROUPS,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Rank rows by a numeric ``value``, highest first and NULL last, within ``keys``.
 
-    Exact, like ``rank`` over a window, but no task has to hold a group. The
-    values are laid into bins that follow their order; a rank is the number of
-    rows in the bins above plus the rank within the bin. Bins are narrow, a
-    1/``bins_per_e`` share of the value each, so a group spreads over as many
-    tasks as its values allow. Only a value that very many rows share can crowd a
-    bin; rows of crowded bins are counted per value instead of being sorted.
-    """
-    binned = rows.withColumn(BIN, _ordered_bin(F.col(f"`{value}`"), bins_per_e))
-    cell = [*keys, BIN]
-    by_bin = W.partitionBy(*keys).orderBy(F.desc_nulls_last(BIN))
-    bins = (
-        binned.groupBy(*cell)
-        .agg(F.count("*").alias("in_bin"))
-        .withColumn("above", _sum_before("in_bin", by_bin))
-    )
-    heavy = F.broadcast(
-        bins.filter(F.col("in_bin") > heavy_rows)
-        .orderBy(F.desc("in_bin"), *cell)
-        .limit(heavy_bins)
-        .select(*cell)
-    )
-    sparse = null_safe_join(binned, heavy, cell, "left_anti")
-    crowded = null_safe_join(binned, heavy, cell, "left_semi")
-    ranked = _rank_in_bins(sparse, bins, cell, value, name).unionByName(
-        _rank_by_counts(crowded, bins, cell, value, name)
-    )
-    return ranked.drop(BIN)
-
-
-def _rank_in_bins(
-    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str
-) -> DataFrame:
-    """Rank by a window over one bin.
+    Exact, like ``rank`` over a window, but no task has to hold a large group. One pass cuts each
+    group of more than ``heavy_rows`` rows, the ``heavy_groups`` largest at most, at the
+    quantiles of its values. Rows between two cuts are one part; rows equal to a cut, to NaN or
+    to NULL are another, in which all have one rank. The rows are shuffled once, by part; those of
+    a part of equal values stay as dealt, since they need no order. A rank is the place within the
+    part plus the rows of the parts above, a table of at most ``heavy_groups * (2 * parts + 2)``
+    rows. Where the cuts lie has no influence on the ranks.
 
-    The number of rows above travels to the bin as one more row that sorts before
-    all others, so rows are shuffled once and need no join.
+    A value that many rows share is a cut of its own, unless it is an integer or decimal that a
+    double cannot hold.
     """
-    heads = bins.select(*cell, "above").withColumn("place", F.lit(0))
-    both = rows.withColumn("place", F.lit(1)).unionByName(heads, allowMissingColumns=True)
-    by_value = W.partitionBy(*cell).orderBy("place", F.desc_nulls_last(value))
-    above = F.max("above").over(by_value.rowsBetween(W.unboundedPreceding, W.currentRow))
-    # The head has rank 1, so the ranks of the rows start at 2.
-    return (
-        both.withColumn(name, above + F.rank().over(by_value) - 1)
-        .filter(F.col("place") == 1)
-        .drop("place", "above")
+    number = F.col(f"`{value}`").cast("double")
+    cuts = _cuts(rows, keys, number, heavy_rows, heavy_groups, parts)
+    above, equal = F.filter("_cuts", lambda c: c < number), F.array_contains("_cuts", number)
+    between = 2 * F.size(above) + F.when(equal, 1).otherwise(0)
+    part = F.when(number.isNull(), -1).when(F.isnan(number), 2 * parts + 1).otherwise(between)
+    parted = null_safe_join(rows, F.broadcast(cuts), keys, "left")
+    parted = parted.withColumn("_part", F.when(F.col("_cuts").isNotNull(), part)).drop("_cuts")
+    alike = F.pmod("_part", F.lit(2)) == 1
+    dealt = parted.withColumn("_deal", F.when(alike, F.spark_partition_id()).otherwise(-1))
+    dealt = dealt.repartition(*keys, "_part", "_deal")
+
+    # Every column is read here, and the filter is on aggregates, so that Spark uses the one
+    # shuffle of the rows twice.
+    sizes = dealt.groupBy(*keys, "_part").agg(
+        F.count("*").alias("_rows"), F.max("_part").alias("_cut"), F.max(F.hash(*dealt.columns)).alias("_read")
     )
+    sizes = sizes.filter(F.col("_cut").isNotNull() & F.col("_read").isNotNull())
+    higher = _sum_before("_rows", W.partitionBy(*keys).orderBy(F.desc("_part")))
+    offsets = sizes.select(*keys, "_part", higher.alias("_higher"))
+    within = F.rank().over(W.partitionBy(*keys, "_part", "_deal").orderBy(F.desc_nulls_last(value)))
+    ranked = null_safe_join(dealt.withColumn("_within", within), F.broadcast(offsets), [*keys, "_part"], "left")
+    place = F.coalesce("_higher", F.lit(0)) + F.col("_within")
+    return ranked.withColumn(name, place).select(*rows.columns, name)
 
 
-def _rank_by_counts(
-    rows: DataFrame, bins: DataFrame, cell: Sequence[str], value: str, name: str, parts: int = PARTS
+def _cuts(
+    rows: DataFrame, keys: Sequence[str], number: Column, heavy_rows: int, heavy_groups: int, parts: int
 ) -> DataFrame:
-    """Rank by counting the rows of every distinct value.
-
-    The distinct values of a bin are cut at their quantiles into ``parts``, so that
-    a bin of very many values takes several tasks. Where the cuts lie has no
-    influence on the ranks.
-    """
-    counts = rows.groupBy(*cell, value).agg(F.count("*").alias("with_value"))
-    at = F.percentile_approx(value, [i / parts for i in range(1, parts)])
-    cuts = counts.groupBy(*cell).agg(at.alias("cuts"))
-    part = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col(f"`{value}`"))), F.lit(0))
-    parted = null_safe_join(counts, cuts, cell, "inner").withColumn("part", part).drop("cuts")
-    piece = [*cell, "part"]
-    pieces = (
-        parted.groupBy(*piece)
-        .agg(F.sum("with_value").alias("in_part"))
-        .withColumn("higher", _sum_before("in_part", W.partitionBy(*cell).orderBy(F.desc("part"))))
-    )
-    by_value = W.partitionBy(*piece).orderBy(F.desc_nulls_last(value))
-    within = parted.withColumn("within", _sum_before("with_value", by_value))
-    above = null_safe_join(pieces.drop("in_part"), bins.select(*cell, "above"), cell, "inner")
-    ranks = null_safe_join(within, above, piece, "inner").select(
-        *cell,
-        value,
-        "with_value",
-        (F.col("above") + F.col("higher") + F.col("within") + 1).alias(name),
-    )
-    return attach_to_groups(rows, ranks, [*cell, value], "with_value", counts=counts).drop(
-        "with_value"
-    )
+    """Values that cut the large groups into ``parts`` of about equal size, ascending."""
+    known = F.when(~F.isnan(number), number)
+    at = F.percentile_approx(known, [i / parts for i in range(1, parts)], 8 * parts)
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("_n"), at.alias("_cuts"))
+    largest = groups.filter(F.col("_n") > heavy_rows).orderBy(F.desc("_n"), *keys).limit(heavy_groups)
+    return largest.select(*keys, F.array_distinct(F.coalesce("_cuts", F.array().cast("array<double>"))).alias("_cuts"))
 
 
 def _ordered(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
@@ -151,13 +114,3 @@ def _ordered(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
 def _sum_before(column: str, window: WindowSpec) -> Column:
     before = window.rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(before), F.lit(0))
-
-
-def _ordered_bin(value: Column, bins_per_e: int) -> Column:
-    """A bin number that never falls while the value rises; NULL stays NULL."""
-    number = value.cast("double")
-    infinite = F.abs(number) == F.lit(float("inf"))
-    size = F.when(infinite, F.lit(2**61)).otherwise(F.floor(F.log1p(F.abs(number)) * bins_per_e))
-    signed = F.when(number < 0, -size).otherwise(size)
-    top = F.lit(2**62)  # NaN sorts above every number
-    return F.when(F.isnan(number), top).otherwise(signed)

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfield.functions.columns import flag, mean_of, ratio
-from tallyfield.operators.groups import attach_to_groups
+from tallyfield.operators.groups import attach_to_groups, bounded, null_safe_join
 from tallyfield.operators.moments import moments
+from tallyfield.operators.quantiles import ACCURACY, exact_quantiles
 
-# Accuracy of Spark's percentile sketch: the rank error is at most rows/accuracy.
-ACCURACY = 10_000
 
 
 PROFILE_SCHEMA = "column_name string, n long, mean double, stddev double, min double, max double"
@@ -60,24 +59,15 @@ def percentile_gap(
     name: str,
     low: float = 0.1,
     high: float = 0.9,
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Distance between two percentiles of the positive values of each group.
-
-    Both come from one sketch per group; sketches are merged across tasks, so
-    group size does not matter.
-    """
-    points = F.percentile_approx(column, [low, high], accuracy)
-    return (
-        rows.filter(F.col(column) > 0)
-        .groupBy(*keys)
-        .agg(points.alias("points"))
-        .select(*keys, (F.col("points")[1] - F.col("points")[0]).cast("double").alias(name))
-    )
+    """Distance between two exact percentiles of the positive values of each group."""
+    positive = rows.filter(F.col(column) > 0)
+    ends = exact_quantiles(positive, keys, column, {"_low": low, "_high": high})
+    return ends.select(*keys, (F.col("_high") - F.col("_low")).cast("double").alias(name))
 
 
 def median_of(column: str | Column, accuracy: int = ACCURACY) -> Column:
-    """Approximate median, a value that occurs in the data."""
+    """Median, a value that occurs; exact for up to ``accuracy`` rows, so for summaries."""
     return F.percentile_approx(column, 0.5, accuracy)
 
 
@@ -137,14 +127,26 @@ def category_gap(
 
 
 def deviation_from_peers(
-    rows: DataFrame, keys: Sequence[str], measure: str, mean_name: str, deviation_name: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    measure: str,
+    mean_name: str,
+    deviation_name: str,
+    max_groups: int | None = None,
 ) -> DataFrame:
-    """Add to every row the mean of its group and the distance from it."""
+    """Add to every row the mean of its group and the distance from it. NULL keys are a group.
+
+    With ``max_groups`` the means are a lookup table, broadcast after a check that there are no
+    more: the rows are read twice and never shuffled. Without it there may be any number.
+    """
     peers = "peer_rows"
     means = rows.groupBy(*keys).agg(
         mean_of(F.col(measure)).alias(mean_name), F.count("*").alias(peers)
     )
-    attached = attach_to_groups(rows, means, keys, peers).drop(peers)
+    if max_groups is None:
+        attached = attach_to_groups(rows, means, keys, peers).drop(peers)
+    else:
+        attached = null_safe_join(rows, bounded(means.drop(peers), max_groups), keys, "inner")
     return attached.withColumn(deviation_name, F.col(measure) - F.col(mean_name))
 
 

@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 from tallyfield.functions import fixed_values as fixed
 from tallyfield.functions.columns import bucketize, mean_of, ratio, tier
 from tallyfield.operators.dims import attach_dimension
+from tallyfield.operators.quantiles import exact_quantiles
 from tallyfield.operators.ranks import group_rank, top_n_per_group
 from tallyfield.operators.shares import leaders_summary, running_share, share_of_parent
 from tallyfield.operators.stats import (
-    ACCURACY,
     category_gap,
     deviation_from_peers,
     low_share,
-    median_of,
     median_screen,
     min_max_normalise,
     percentile_gap,
@@ -31,6 +30,8 @@ FAST, SLOW = "fast_internet", "slow_internet"
 HIGH_BUSINESS, LOW_BUSINESS = "high_biz_internet", "low_biz_internet"
 WORKING_AGE = (25, 64)
 BACHELOR = 21
+# State codes times age bands; far more than the code lists have, so that unknown codes fit too.
+MAX_PEER_GROUPS = 10_000
 
 
 def average_salary_by_speed(
@@ -73,7 +74,7 @@ def income_against_peers(demographics: DataFrame, ordered: bool = False) -> Data
         (F.col("PINCP") > 0) & (F.col("AGEP") >= fixed.PEER_AGE_BANDS[0][0])
     ).select("SERIALNO", "ST", group.alias("age_group"), "PINCP")
     result = deviation_from_peers(
-        adults, ["ST", "age_group"], "PINCP", "avg_group_income", "income_deviation"
+        adults, ["ST", "age_group"], "PINCP", "avg_group_income", "income_deviation", MAX_PEER_GROUPS
     )
     return result.orderBy(F.desc("income_deviation")) if ordered else result
 
@@ -99,11 +100,11 @@ def providers_and_income(
 
 
 def income_and_speed_gaps(
-    demographics: DataFrame, internet: DataFrame, states: DataFrame, accuracy: int = ACCURACY
+    demographics: DataFrame, internet: DataFrame, states: DataFrame
 ) -> DataFrame:
     """N6. Distance of the 90th from the 10th percentile of income and of speed per state."""
-    income = percentile_gap(demographics, ["ST"], "PINCP", "income_gap", accuracy=accuracy)
-    speed = percentile_gap(internet, ["StateAbbr"], "MaxAdDown", "speed_gap", accuracy=accuracy)
+    income = percentile_gap(demographics, ["ST"], "PINCP", "income_gap")
+    speed = percentile_gap(internet, ["StateAbbr"], "MaxAdDown", "speed_gap")
     return (
         _with_code(speed, states)
         .join(income, "ST")
@@ -146,20 +147,15 @@ def digital_resilience_index(
     internet: DataFrame,
     states: DataFrame,
     weights: tuple[float, float, float] = (0.4, 0.3, 0.3),
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """N8. Index of speed, median wage and education at working age, ranked over the states."""
     speed = internet.groupBy("StateAbbr").agg(mean_of(F.col("MaxAdDown")).alias("avg_speed"))
     wage = F.when(F.col("WAGP") > 0, F.col("WAGP"))
-    # Income and education come from one pass; a state without any wage drops out.
-    people = (
-        demographics.filter(_working_age())
-        .groupBy("ST")
-        .agg(
-            median_of(wage, accuracy).alias("median_income"),
-            low_share(F.col("SCHL"), BACHELOR).alias("low_edu_share"),
-        )
-        .filter(F.col("median_income").isNotNull())
+    working = demographics.filter(_working_age()).select("ST", "SCHL", wage.alias("wage"))
+    # Education comes with the first pass over the wages; a state without any wage drops out.
+    education = low_share(F.col("SCHL"), BACHELOR).alias("low_edu_share")
+    people = exact_quantiles(working, ["ST"], "wage", {"median_income": 0.5}, [education]).filter(
+        F.col("median_income").isNotNull()
     )
     measures = ["avg_speed", "median_income", "low_edu_share"]
     base = _with_code(speed, states).join(people, "ST").select("StateAbbr", *measures)
@@ -272,7 +268,6 @@ def affordability_gap_states(
     demographics: DataFrame,
     states: DataFrame,
     restrict_age_25_64: bool = True,
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """N12. States faster than the median state whose median wage is below the median state."""
     speed = internet.groupBy("StateAbbr").agg(
@@ -281,8 +276,8 @@ def affordability_gap_states(
     earners = demographics.filter(F.col("WAGP") > 0)
     if restrict_age_25_64:
         earners = earners.filter(_working_age())
-    income = earners.groupBy("ST").agg(
-        median_of("WAGP", accuracy).alias("median_wagp"), F.count("*").alias("adult_pop")
+    income = exact_quantiles(
+        earners, ["ST"], "WAGP", {"median_wagp": 0.5}, [F.count("*").alias("adult_pop")]
     )
     base = (
         _with_code(speed, states)
@@ -290,7 +285,7 @@ def affordability_gap_states(
         .select("StateAbbr", "state_avg_mbps", "median_wagp", "adult_pop")
     )
     screened = median_screen(
-        base, "state_avg_mbps", "median_wagp", "affordability_gap_score", "adult_pop", accuracy
+        base, "state_avg_mbps", "median_wagp", "affordability_gap_score", "adult_pop"
     )
     return group_rank(screened, [], [F.desc("affordability_gap_score")], "dense_rank").orderBy(
         "rank"

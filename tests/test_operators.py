@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from decimal import Decimal
 from itertools import combinations
@@ -11,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from tallyfield.operators import groups, pairs, ranks, shares, stats
+from tallyfield.operators import groups, pairs, quantiles, ranks, shares, stats
 
 SLOW = settings(
     max_examples=8,
@@ -77,8 +78,8 @@ def test_rank_rows_equals_a_window(spark, rows):
     df = spark.createDataFrame(rows, "g string, v double")
     window = W.partitionBy("g").orderBy(F.desc_nulls_last("v"))
     want = rows_of(df.withColumn("rank", F.rank().over(window)))
-    for limits in ({}, {"heavy_rows": 1}, {"heavy_rows": 1, "heavy_bins": 1}):
-        got = ranks.rank_rows(df, ["g"], "v", bins_per_e=2, **limits)
+    for limits in ({}, {"heavy_rows": 1}, {"heavy_rows": 1, "heavy_groups": 1, "parts": 4}):
+        got = ranks.rank_rows(df, ["g"], "v", **limits)
         assert rows_of(got.select("g", "v", "rank")) == want
 
 
@@ -100,6 +101,23 @@ def test_rank_rows_with_a_hot_value(spark):
         assert rows_of(got.select("g", "v", "rank")) == want
 
 
+def test_rank_rows_reads_twice_and_shuffles_the_rows_once(spark, tmp_path):
+    spark.range(4_000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"), "id").write.parquet(str(tmp_path / "rows"))
+    ranked = ranks.rank_rows(spark.read.parquet(str(tmp_path / "rows")), ["g"], "v", heavy_rows=100)
+    tasks = ranked.withColumn("task", F.spark_partition_id())
+    assert ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    shuffles = [line for line in plan.splitlines() if " Exchange " in f" {line.strip(' :+-*()0123456789')} " and "Reused" not in line]
+    assert plan.count("FileScan") == 2 and len(shuffles) <= 4
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = tasks.filter("g = 0 AND v = 7").select("task").distinct().count()
+        others = tasks.filter("g = 0 AND v <> 7").select("task").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert hot >= 1 and others > 1
+
+
 def test_rank_rows_in_one_crowded_bin_of_many_values(spark):
     df = spark.range(20_000).select(
         F.lit("s").alias("g"),
@@ -191,6 +209,37 @@ def test_percentile_gap(frame):
     assert df.filter("v > 0").agg(stats.median_of("v")).first()[0] == 5
 
 
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_exact_quantiles(spark, accuracy):
+    """Whatever the accuracy of the brackets; values that a double cannot hold, hot values, NULL keys."""
+    draw = random.Random(accuracy)
+    rows = [(draw.choice(["a", "b", None]), draw.choice([None, 5, 2**60 + draw.randrange(50), draw.randrange(10**6)])) for _ in range(900)]
+    rows += [("none", None), ("one", 3)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(4)
+    points = {"low": 0.1, "mid": 0.5, "high": 0.9, "least": 0.0, "most": 1.0}
+    got = quantiles.exact_quantiles(df, ["k"], "v", points, [F.count("*").alias("n")], accuracy)
+    want = []
+    for key in {k for k, _ in rows}:
+        values = sorted(v for k, v in rows if k == key and v is not None)
+        places = [max(1, math.ceil(Decimal(str(p)) * len(values))) for p in points.values()]
+        want.append((key, *(values[p - 1] if values else None for p in places), sum(k == key for k, _ in rows)))
+    assert rows_of(got) == sorted(want, key=repr)
+
+
+def test_exact_quantiles_of_nothing(frame):
+    df = frame([("a", float("nan")), ("b", float("nan")), ("b", 2.0)], "k string, v double")
+    assert rows_of(quantiles.exact_quantiles(df, ["k"], "v", {"mid": 0.5})) == [("a", None), ("b", 2.0)]
+    assert quantiles.exact_quantiles(df.limit(0), ["k"], "v", {"mid": 0.5}).collect() == []
+
+
+def test_bounded_lookup(frame):
+    df = frame([("a", 1.0), ("a", 3.0), (None, 5.0), ("?", 2.0)], "k string, v double")
+    got = stats.deviation_from_peers(df, ["k"], "v", "mean", "off", max_groups=3)
+    assert rows_of(got.select("k", "v", "mean", "off")) == [("?", 2.0, 2.0, 0.0), ("a", 1.0, 2.0, -1.0), ("a", 3.0, 2.0, 1.0), (None, 5.0, 5.0, 0.0)]
+    with pytest.raises(Exception, match="more than 2 groups"):
+        stats.deviation_from_peers(df, ["k"], "v", "mean", "off", max_groups=2).collect()
+
+
 def test_min_max(frame):
     df = frame([("a", 1, 5), ("b", 3, 5), ("c", 2, 5)], "k string, x int, y int")
     got = stats.min_max_normalise(df, ["x", "y"]).select("k", "x_norm", "y_norm")
