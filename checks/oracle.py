@@ -5,6 +5,8 @@ The views join every table of a role at once, whichever columns a query uses.
 
 from __future__ import annotations
 
+from tallyfield.sources.schemas import INCIDENTS
+
 INCIDENT = """
 incident AS (
   SELECT e.event_id AS ID, e.ts AS Start_Time, n.n_name AS State, e.user_id AS Zipcode,
@@ -392,3 +394,36 @@ SELECT state, count(*) AS n, CAST(sum(CAST(balance AS DECIMAL(18,2))) AS DOUBLE)
 FROM (SELECT c_nationkey AS state, c_acctbal AS balance FROM customer
       UNION ALL SELECT s_nationkey, s_acctbal FROM supplier)
 GROUP BY state"""
+
+# Lines with a bad cell, and with a field too many or too few.
+_BAD = {"Severity": (50, 7), "Visibility(mi)": (60, 11), "Stop": (40, 3)}
+_MISSHAPEN = "event_id % 90 = 5 OR event_id % 80 = 9"
+_SHORT = "event_id % 80 = 9"
+
+
+def _rejects(columns: list[str]) -> str:
+    bad = {c: f"event_id % {n} = {r}" for c, (n, r) in _BAD.items()}
+    counts = {
+        **{c: f"count(*) FILTER (WHERE {bad.get(c, 'false')})" for c in columns},
+        "(rows)": "count(*)",
+        "(rejected rows)": f"count(*) FILTER (WHERE {' OR '.join(bad.values())} OR {_MISSHAPEN})",
+        "(misshapen rows)": f"count(*) FILTER (WHERE {_MISSHAPEN})",
+    }
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, {n} AS n FROM events" for c, n in counts.items())
+
+
+SQL["csv_rejects"] = _rejects(INCIDENTS.names)
+SQL["csv_read_back"] = f"""
+SELECT Weather_Condition, count(*) AS n, count(*) FILTER (WHERE whole) AS n_whole,
+       CAST(sum(severity) AS BIGINT) AS severity, CAST(sum(visibility) AS DOUBLE) AS visibility,
+       count(*) FILTER (WHERE stop) AS stops,
+       CAST(sum(chars) AS BIGINT) AS description_chars, max(start) AS last_start
+FROM (
+  SELECT CASE WHEN NOT {_SHORT} THEN event_type END AS Weather_Condition,
+         NOT ({' OR '.join(f'event_id % {n} = {r}' for n, r in _BAD.values())} OR {_MISSHAPEN}) AS whole,
+         CASE WHEN event_id % 50 <> 7 THEN event_id % 4 + 1 END AS severity,
+         CASE WHEN NOT {_SHORT} AND event_id % 60 <> 11 THEN CAST(value AS DECIMAL(12,2)) END AS visibility,
+         NOT {_SHORT} AND event_id % 40 <> 3 AND event_type = 'error' AS stop,
+         CASE WHEN NOT {_SHORT} THEN length(props) END AS chars,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS start
+  FROM events) GROUP BY ALL"""

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfield.operators.stats import profile, sizes
+from tallyfield.operators.stats import numeric_columns, preview, profile, sizes
 from tallyfield.plans import coverage, cross, incidents, people
 from tallyfield.sources.states import state_table
 
@@ -82,6 +82,17 @@ def run_all(
     return {name: q.answer(*(inputs[i] for i in q.inputs)) for name, q in chosen.items()}
 
 
+def preview_all(tables: Mapping[str, DataFrame], columns: int = 10, rows: int = 5) -> dict[str, DataFrame]:
+    """The first columns of a few rows of the three main data sets."""
+    return {name: preview(tables[name], columns, rows) for name in DATASETS if name in tables}
+
+
+def preview_profiles(tables: Mapping[str, DataFrame], columns: int = 5) -> dict[str, DataFrame]:
+    """Profiles of the first numeric columns only, in schema order; no others are read."""
+    first = {name: numeric_columns(tables[name])[:columns] for name in DATASETS if name in tables}
+    return {name: profile(tables[name], names) for name, names in first.items()}
+
+
 def describe_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Plan the sizes of all data sets and the numeric profile of the three main ones."""
     profiles = {f"{name}_stats": profile(tables[name]) for name in DATASETS if name in tables}

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from tallyfield.functions.columns import clean_numeric, parse_time
 from tallyfield.sources import schemas
+from tallyfield.sources.rejects import csv_format, read_checked_csv
+from tallyfield.sources.states import read_state_file
 
 # Where the published files lie below the base folder.
 DEFAULT_FILES = {
@@ -40,7 +42,7 @@ def read_typed_csv(
     A cell that does not fit its type becomes NULL. Doubled quotes inside a
     quoted field are read as one quote, so such a field is not split.
     """
-    settings = {"header": "true", "sep": sep, "quote": '"', "escape": '"', **options}
+    settings = {**csv_format(sep), "header": "true", **options}
     return spark.read.schema(schema).options(**settings).csv(path)
 
 
@@ -73,17 +75,26 @@ def with_demographics(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def load_tables(
-    spark: SparkSession, base_path: str, files: Mapping[str, str] | None = None
+    spark: SparkSession,
+    base_path: str,
+    files: Mapping[str, str] | None = None,
+    checked: bool = False,
 ) -> dict[str, DataFrame]:
-    """The data sets as read from CSV: demographics, pusa, pusb, accidents, internet."""
+    """The data sets as read from CSV: demographics, pusa, pusb, accidents, internet.
+
+    ``checked`` adds the column of rejected records, for ``reject_counts``.
+    """
     paths = {**DEFAULT_FILES, **(files or {})}
-    raw = {
-        name: read_typed_csv(spark, f"{base_path}/{paths[name]}", SCHEMAS[name])
-        for name in DEFAULT_FILES
-    }
+    read = read_checked_csv if checked else read_typed_csv
+    raw = {name: read(spark, f"{base_path}/{paths[name]}", SCHEMAS[name]) for name in DEFAULT_FILES}
     return with_demographics(raw)
 
 
+def load_states(spark: SparkSession, base_path: str, file: str = DEFAULT_STATE_FILE) -> DataFrame:
+    """The state table that lies with the data sets."""
+    return read_state_file(spark, f"{base_path}/{file}")
+
+
 def clean_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The same data sets with cleaned types, ready for the questions."""
     cleaned = {

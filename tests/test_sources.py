@@ -4,9 +4,11 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows_of
-from tallyfield.sources import readers, schemas
+from tallyfield.plans import suite
+from tallyfield.sources import readers, rejects, schemas
 from tallyfield.sources.reports import write_report
 from tallyfield.sources.states import read_state_file, state_table
 
@@ -119,6 +121,8 @@ def data_dir(tmp_path):
         schemas.COVERAGE,
         {"StateAbbr": "AL", "ProviderName": "P", "MaxAdDown": "200", "Consumer": "1"},
     )
+    state_file = tmp_path / "data" / readers.DEFAULT_STATE_FILE
+    state_file.write_text("STATE|STUSAB|STATE_NAME|STATENS\n01|AL|Alabama|1\n72|PR|Puerto Rico|2\n")
     return str(tmp_path / "data")
 
 
@@ -151,6 +155,39 @@ def test_the_whole_job(spark, data_dir, tmp_path, monkeypatch):
     assert ("demographics", "3", "287") in [tuple(r) for r in sizes]
 
 
+    rejects = spark.read.csv(str(tmp_path / "out/statistics/rejects_pusa"), header=True).collect()
+    assert ("(rows)", "2") in [tuple(r) for r in rejects]
+    previewed = spark.read.csv(str(tmp_path / "out/statistics/accidents_preview"), header=True)
+    assert len(previewed.columns) == 10 and previewed.count() == 2
+
+
+def test_rejected_records(spark, tmp_path):
+    """Bad cells by column, quotes, a long and a short line; an empty cell is no reject."""
+    path = tmp_path / "rows.csv"
+    path.write_text('a,b(mi),c\n1,2.5,"x ""y"", z"\nq,2.5,x\n,,\n3,1e400x,\n4,5,6,7\n8\n9,z,"a,b"\n')
+    schema = "a int, `b(mi)` double, c string"
+    rows = rejects.read_checked_csv(spark, str(path), T.StructType.fromDDL(schema))
+    assert rows_of(rows.select("a", "c")) == sorted(
+        [(1, 'x "y", z'), (None, "x"), (None, None), (3, None), (4, "6"), (8, None), (9, "a,b")], key=repr
+    )
+    assert rows.select(F.max("a")).first()[0] == 9  # one column alone
+    assert dict(map(tuple, rejects.reject_counts(rows).collect())) == {
+        "a": 1, "b(mi)": 2, "c": 0, "(rows)": 7, "(rejected rows)": 5, "(misshapen rows)": 2,
+    }
+    assert rows_of(rejects.accepted(rows)) == [(1, 2.5, 'x "y", z'), (None, None, None)]
+
+
+def test_previews(spark, data_dir):
+    tables = readers.clean_tables(readers.load_tables(spark, data_dir))
+    assert {name: len(df.columns) for name, df in suite.preview_all(tables).items()} == {"demographics": 10, "accidents": 10, "internet": 10}
+    profiles = suite.preview_profiles(tables, columns=2)
+    assert {name: df.count() for name, df in profiles.items()} == {"demographics": 2, "accidents": 2, "internet": 2}
+
+
+def test_states_lie_with_the_data(spark, data_dir):
+    assert rows_of(readers.load_states(spark, data_dir)) == [("01", "AL"), ("72", "PR")]
+
+
 def test_missing_data_set_is_named(spark):
     from tallyfield.plans.suite import run_all
 
