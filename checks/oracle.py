@@ -427,3 +427,30 @@ FROM (
          CASE WHEN NOT {_SHORT} THEN length(props) END AS chars,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS start
   FROM events) GROUP BY ALL"""
+
+_WORKING = " AND AGEP BETWEEN 25 AND 64"
+SQL["n7_providers_with_min_share"] = SQL["n7_top_providers_by_state"].replace(
+    "WHERE consumers >= 10", "WHERE consumers >= 10 AND CAST(consumers AS DOUBLE) / CAST(n AS DOUBLE) >= CAST(0.012 AS DOUBLE)"
+)
+SQL["n9_gender_pay_gap_all_ages"] = SQL["n9_gender_pay_gap"].replace(_WORKING, "")
+SQL["n12_affordability_gap_all_ages"] = SQL["n12_affordability_gap_states"].replace(_WORKING, "")
+
+
+def _with_gaps(name: str, *columns: str) -> str:
+    """The same over persons of whom every seventh has NULL in the columns."""
+    gaps = ", ".join(f"CASE WHEN SERIALNO % 7 <> 0 THEN {c} END AS {c}" for c in columns)
+    person = PERSON.strip()
+    query = SQL[name].replace("FROM person", "FROM gap")
+    return query.replace(person, f"{person},\ngap AS (SELECT * REPLACE ({gaps}) FROM person)")
+
+
+SQL["d2_poverty_by_group_with_nulls"] = _with_gaps("d2_poverty_by_group", "ESR", "POVPIP").replace(
+    "FROM gap", "FROM gap WHERE POVPIP IS NOT NULL"  # a group without any ratio is no group
+)
+SQL["x6_young_income_rank_with_nulls"] = _with_gaps("x6_young_income_rank", "PINCP")
+SQL["n4_income_against_peers_with_nulls"] = _with_gaps("n4_income_against_peers", "ST").replace(
+    "SELECT SERIALNO, ST, age_group,", "SELECT SERIALNO, adult.ST, adult.age_group,"
+).replace(
+    "JOIN peers USING (ST, age_group)",
+    "JOIN peers ON adult.ST IS NOT DISTINCT FROM peers.ST AND adult.age_group = peers.age_group",
+)

@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyfield.functions.columns import flag, mean_of, ratio
-from tallyfield.operators.groups import attach_to_groups
 
 
 def conditional_ratio(
@@ -34,21 +33,13 @@ def share_of_parent(
 ) -> DataFrame:
     """Add the share of ``measure`` in its total over ``parent``.
 
-    ``summary`` holds one row per child. The total comes from a second, combined
-    aggregate and is attached by ``attach_to_groups``, so a parent with very many
-    children is not gathered in one task. Rows without a parent drop out.
+    ``summary`` holds one row per child, and a second, combined aggregate sums them, so that a
+    parent with very many children is not gathered in one task. Rows without a parent drop out.
     """
-    total, children, used = "parent_total", "parent_children", "parent_used"
-    known = summary.filter(F.col(parent).isNotNull())
-    # ``used`` reads every column, so that Spark does not prune the aggregate
-    # below to another shape here and can reuse the one exchange for both.
-    totals = known.groupBy(parent).agg(
-        F.sum(measure).alias(total),
-        F.count("*").alias(children),
-        F.max(F.hash(*summary.columns)).alias(used),
-    ).filter(F.col(used).isNotNull())
-    attached = attach_to_groups(known, totals.drop(used), [parent], children)
-    return attached.withColumn(name, ratio(F.col(measure), F.col(total))).drop(total, children)
+    total = "parent_total"
+    totals = summary.groupBy(parent).agg(F.sum(measure).alias(total))
+    shared = summary.join(totals, parent)
+    return shared.withColumn(name, ratio(F.col(measure), F.col(total))).drop(total).select(*summary.columns, name)
 
 
 def running_share(

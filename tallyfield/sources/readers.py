@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyfield.functions.columns import clean_numeric, parse_time
+from tallyfield.operators.dims import checked_dimension
 from tallyfield.sources import schemas
 from tallyfield.sources.rejects import csv_format, read_checked_csv
 from tallyfield.sources.states import read_state_file
@@ -91,8 +92,8 @@ def load_tables(
 
 
 def load_states(spark: SparkSession, base_path: str, file: str = DEFAULT_STATE_FILE) -> DataFrame:
-    """The state table that lies with the data sets."""
-    return read_state_file(spark, f"{base_path}/{file}")
+    """The state table that lies with the data sets; a code that occurs twice raises an error."""
+    return checked_dimension(read_state_file(spark, f"{base_path}/{file}"), "ST", ["StateAbbr"])
 
 
 def clean_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

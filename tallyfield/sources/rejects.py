@@ -52,9 +52,7 @@ def reject_counts(rows: DataFrame, sep: str = ",") -> DataFrame:
     def bad(c: str) -> Column:
         return F.col(REJECTED).isNotNull() & F.col("_raw").getField(c).isNotNull() & F.col(f"`{c}`").isNull()
 
-    any_bad = F.lit(False)
-    for c in names:
-        any_bad = any_bad | bad(c)
+    any_bad = F.array_contains(F.array(*map(bad, names)), True)
     counted = {
         **{c: F.count_if(bad(c)) for c in names},
         ALL_ROWS: F.count("*"),

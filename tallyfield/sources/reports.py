@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-def write_report(report: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Overwrite ``path`` with the report, written in parallel whatever its length."""
-    writer = report.write.mode("overwrite").format(fmt)
+ROWS = "(rows)"
+
+
+def write_report(report: DataFrame, path: str, fmt: str = "csv") -> dict[str, int]:
+    """Replace ``path`` with the report, written in parallel whatever its length.
+
+    The rows and the NULLs of every column are counted while they are written, without another
+    pass: ``{"(rows)": n, column: nulls, ...}``. The report is written beside the old one, which
+    goes only when the new one is complete; a failed write leaves the old one as it was.
+    """
+    spark = report.sparkSession
+    seen = Observation()
+    nulls = (F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{k}") for k, c in enumerate(report.columns))
+    writer = report.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.save(path)
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(path), hadoop.Path(fresh)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer.save(fresh)
+        files.delete(old, True)
+        files.rename(new, old)
+    finally:
+        files.delete(new, True)
+    return {ROWS: seen.get["rows"], **{c: seen.get[f"c{k}"] for k, c in enumerate(report.columns)}}

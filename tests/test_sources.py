@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows_of
+from tallyfield.operators.dims import checked_dimension
 from tallyfield.plans import suite
 from tallyfield.sources import readers, rejects, schemas
 from tallyfield.sources.reports import write_report
@@ -205,3 +206,26 @@ def test_report_files(spark, tmp_path):
         write_report(spark.range(0, rows, 1, 4), str(tmp_path / f"pq{rows}"), fmt="parquet")
         assert len(parts(tmp_path / f"csv{rows}")) == len(parts(tmp_path / f"pq{rows}")) == 4
         assert spark.read.csv(str(tmp_path / f"csv{rows}"), header=True).count() == rows
+
+
+def test_report_counts_what_it_writes(spark, tmp_path, frame):
+    path = str(tmp_path / "report")
+    df = frame([(1, None), (None, None), (3, "x")], "a int, `b c` string")
+    assert write_report(df, path) == {"(rows)": 3, "a": 1, "b c": 2}
+    assert write_report(df.limit(0), path, fmt="parquet") == {"(rows)": 0, "a": 0, "b c": 0}
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(spark.range(5), path)
+    with pytest.raises(Exception, match="broken"):
+        write_report(spark.range(5).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert spark.read.csv(path, header=True).count() == 5
+
+
+def test_a_repeated_state_code_raises(spark, frame):
+    states = frame([("01", "AL"), ("02", "AK"), (None, "x"), (None, "y")], "ST string, StateAbbr string")
+    assert rows_of(checked_dimension(states, "ST", ["StateAbbr"])) == [("01", "AL"), ("02", "AK")]
+    with pytest.raises(Exception, match="more than once in a dimension: 01"):
+        checked_dimension(states.union(states.limit(1)), "ST", ["StateAbbr"]).collect()
