@@ -9,7 +9,7 @@ compared by cosine in double precision.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +21,18 @@ from tallyfield.llm.common import stored, table
 from tallyfield.llm.components import connected_components
 
 THRESHOLD = 0.9
-# Tables bring the recall of pairs just above the threshold near one; README.md has it by bands of cosine.
-# More blocks and tables suit larger sets.
-TABLES, BLOCKS = 72, 3
 # Lattice units per unit of distance, per projected coordinate.
 SCALE = 0.48
 SEED = 8
-# Vectors of one cell that a task compares with each other at once, rows per group of cells, and linked pairs whose cells are compared at once.
-BLOCK_ROWS, GROUP_ROWS, PAIRS_AT_ONCE = 1024, 10_000, 8_000
+# Sets of up to so many vectors take so many tables of so many blocks. More blocks make cells smaller, so
+# that chance meetings stay few in larger sets; the tables bring the recall of pairs just above the
+# threshold near one in either layout. README.md has it by bands of cosine.
+LAYOUTS = ((1 << 20, 28, 2), (1 << 62, 76, 3))
+# A key's lowest bits are its table; the largest number is no key.
+TABLE_BITS, NONE = 7, np.iinfo(np.int64).max
+# Vectors of one cell that a task compares with each other at once, rows per group of cells, rows of a cell
+# whose pairs are listed one by one, and pairs whose cosines or cells are computed at once.
+BLOCK_ROWS, GROUP_ROWS, SMALL_CELL, PAIRS_AT_ONCE = 1024, 20_000, 24, 1 << 14
 
 
 def _nearest_d8(x: np.ndarray) -> np.ndarray:
@@ -76,23 +80,27 @@ def _hashed(points: np.ndarray, salt: int) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def cells(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Home cells (rows, tables) and neighbouring cells (rows, tables, blocks) of unit vectors."""
-    rng = np.random.default_rng(SEED)
-    homes = np.empty((len(unit), TABLES), np.int64)
-    probes = np.empty((len(unit), TABLES, BLOCKS), np.int64)
-    for t in range(TABLES):
-        near, other = [], []
-        for b in range(BLOCKS):
-            points, neighbours = e8_points(unit @ rng.normal(0, SCALE, (unit.shape[1], 8)))
-            salt = 1 + t * BLOCKS + b
-            near.append(_hashed(points, salt))
-            other.append(_hashed(neighbours, salt))
-        home = sum(near, np.zeros(len(unit), np.uint64))
-        homes[:, t] = home.view(np.int64)
-        for b in range(BLOCKS):
-            probes[:, t, b] = (home - near[b] + other[b]).view(np.int64)
-    return homes, probes
+def layout(n: int) -> tuple[int, int]:
+    """Tables and blocks for ``n`` vectors."""
+    return next((tables, blocks) for most, tables, blocks in LAYOUTS if n <= most)
+
+
+def cells(unit: np.ndarray, table: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Home cells (rows) and neighbouring cells (rows, blocks) of unit vectors in one table."""
+    rng = np.random.default_rng([SEED, unit.shape[1], table])
+    near, other = [], []
+    for b in range(blocks):
+        points, neighbours = e8_points(unit @ rng.normal(0, SCALE, (unit.shape[1], 8)))
+        salt = 1 + table * blocks + b
+        near.append(_hashed(points, salt))
+        other.append(_hashed(neighbours, salt))
+    home = sum(near, np.zeros(len(unit), np.uint64))
+    probes = np.stack([home - near[b] + other[b] for b in range(blocks)], axis=1)
+
+    def keyed(hashes: np.ndarray) -> np.ndarray:
+        return ((hashes << np.uint64(TABLE_BITS)) | np.uint64(table)).view(np.int64)
+
+    return keyed(home), keyed(probes)
 
 
 def _usable(values: list | None) -> tuple[bytes, bytes] | None:
@@ -135,101 +143,165 @@ def _units(packed: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _all_cells(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    homes, probes = np.empty((len(packed), TABLES), np.int64), np.empty((len(packed), TABLES, BLOCKS), np.int64)
+def _cells_of(packed: list[bytes], table: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    homes, probes = np.empty(len(packed), np.int64), np.empty((len(packed), blocks), np.int64)
     for rows, unit in _units(packed).values():
-        homes[rows], probes[rows] = cells(unit)
+        homes[rows], probes[rows] = cells(unit, table, blocks)
     return homes, probes
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, key, home) of every cell of every vector."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            part = batch.slice(start, 1024)
-            homes, probes = _all_cells(part.column("vector").to_pylist())
-            keys = np.concatenate([homes, probes.reshape(len(homes), -1)], axis=1)
-            home = np.zeros(keys.shape, np.int32)
-            home[:, :TABLES] = 1
-            which = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
-            yield pa.RecordBatch.from_arrays([part.column("node").take(which), pa.array(keys.ravel()), pa.array(home.ravel())], names=["node", "key", "home"])
-
-
-def _first_shared(h_i, p_i, h_j, p_j) -> np.ndarray:
-    """Smallest cell that the vectors of each pair share, one of them at home there."""
-    none = np.iinfo(np.int64).max
-    shared = np.where(h_i == h_j, h_i, none)
-    for b in range(BLOCKS):
-        shared = np.minimum(shared, np.where(h_i == p_j[:, :, b], h_i, none))
-        shared = np.minimum(shared, np.where(h_j == p_i[:, :, b], h_j, none))
-    return shared.min(axis=1)
-
-
-def _block_labels(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def _placed(tables: int, blocks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(node, key, home) of every cell of every vector."""
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                packed = part.column("vector").to_pylist()
+                found = [_cells_of(packed, t, blocks) for t in range(tables)]
+                keys = np.concatenate([np.column_stack([home, probes]) for home, probes in found], axis=1)
+                home = np.zeros(keys.shape, np.int32)
+                home[:, :: 1 + blocks] = 1
+                which = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
+                yield pa.RecordBatch.from_arrays([part.column("node").take(which), pa.array(keys.ravel()), pa.array(home.ravel())], names=["node", "key", "home"])
+
+    return place
+
+
+class _Cells:
+    """Cells of the vectors of a task, decoded when first asked for."""
+
+    def __init__(self, packed: list[bytes], blocks: int) -> None:
+        self.packed, self.blocks = packed, blocks
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def of(self, table: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.packed)
+        known, homes, probes = self.tables.setdefault(
+            table, (np.zeros(n, bool), np.empty(n, np.int64), np.empty((n, self.blocks), np.int64))
+        )
+        asked = np.zeros(n, bool)
+        asked[nodes] = True
+        new = np.flatnonzero(asked & ~known)
+        if len(new):
+            homes[new], probes[new] = _cells_of([self.packed[k] for k in new], table, self.blocks)
+            known[new] = True
+        return homes, probes
+
+
+def _shared(homes: np.ndarray, probes: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smallest cell of a table that the vectors of each pair share, one of them at home there; NONE if they share none."""
+    shared = np.where(homes[x] == homes[y], homes[x], NONE)
+    for b in range(probes.shape[1]):
+        shared = np.minimum(shared, np.where(homes[x] == probes[y, b], homes[x], NONE))
+        shared = np.minimum(shared, np.where(homes[y] == probes[x, b], homes[y], NONE))
+    return shared
+
+
+def _in_first_cell(known: _Cells, x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each pair (x, y) met in the first table, and there the smallest cell, that the two share.
+
+    Tables are gone through in turn, for the pairs that met in a later one and share no cell yet:
+    near vectors share one soon, so few are decoded often.
+    """
+    table, left = at & ((1 << TABLE_BITS) - 1), np.ones(len(x), bool)
+    first = np.zeros(len(x), bool)
+    for t in range(int(table.max(initial=-1)) + 1):
+        pairs = np.flatnonzero(left & (table >= t))
+        if len(pairs):
+            homes, probes = known.of(t, np.concatenate([x[pairs], y[pairs]]))
+            shared = _shared(homes, probes, x[pairs], y[pairs])
+            first[pairs] = shared == at[pairs]
+            left[pairs] = shared == NONE
+    return first
+
+
+def _block_labels(n: int, pairs: np.ndarray) -> np.ndarray:
     """For every row the smallest row it is connected to by the pairs."""
     label = np.arange(n)
     while True:
         before = label.copy()
-        for x, y in pairs:
-            low = np.minimum(label[x], label[y])
-            np.minimum.at(label, x, low)
-            np.minimum.at(label, y, low)
+        low = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
+        np.minimum.at(label, pairs[:, 0], low)
+        np.minimum.at(label, pairs[:, 1], low)
         label = label[label]
         if (label == before).all():
             return label
 
 
-def _compared(group: pa.Table) -> pa.Table:
-    """Links of the vectors of some cells, or pairs of blocks of cells.
+def _listed(sizes: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within cells that begin at ``start`` and have ``sizes`` rows, some at a time."""
+    for step in range(1, int(sizes.max(initial=1))):
+        larger = sizes > step
+        n = sizes[larger] - step
+        left = np.repeat(start[larger] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        for a in range(0, len(left), PAIRS_AT_ONCE):
+            yield left[a : a + PAIRS_AT_ONCE], left[a : a + PAIRS_AT_ONCE] + step
+
+
+def _near_pairs(group: dict[str, np.ndarray], unit: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one cell, one at home there, whose vectors' cosine reaches the threshold.
 
-    A pair that meets in several cells is counted in the smallest one.
+    ``rows`` are sorted by cell; ``unit`` holds the vector of each of them.
     """
-    names = group.column("node").to_pylist()
-    number = {name: k for k, name in enumerate(dict.fromkeys(names))}
-    node = np.array([number[name] for name in names])
-    first_row = np.unique(node, return_index=True)[1]
-    packed_column = group.column("vector")
-    packed = [packed_column[int(r)].as_py() for r in first_row]
-    copies = group.column("copies").to_numpy()[first_row]
-    key, low, high, part, home = (group.column(c).to_numpy() for c in ("key", "low", "high", "part", "home"))
-    xs, ys, keys = [], [], []
-    for size_rows, unit in _units(packed).values():
-        place = np.full(len(packed), -1)
-        place[size_rows] = np.arange(len(size_rows))
-        rows = np.flatnonzero(place[node] >= 0)
-        rows = rows[np.lexsort((high[rows], low[rows], key[rows]))]
-        new = (np.diff(key[rows]) != 0) | (np.diff(low[rows]) != 0) | (np.diff(high[rows]) != 0)
-        for cell in np.split(rows, np.flatnonzero(new) + 1):
-            if len(cell) < 2:
-                continue
-            same = low[cell[0]] == high[cell[0]]
-            left, right = (cell, cell) if same else (cell[part[cell] == low[cell[0]]], cell[part[cell] != low[cell[0]]])
-            near = unit[place[node[left]]] @ unit[place[node[right]]].T >= THRESHOLD
-            near &= (home[left][:, None] | home[right][None, :]) > 0
-            i, j = np.nonzero(np.triu(near, 1) if same else near)
-            if len(i):
-                xs.append(node[left[i]])
-                ys.append(node[right[j]])
-                keys.append(np.full(len(i), key[cell[0]]))
-    links, label = np.zeros(len(packed), np.int64), np.arange(len(packed))
-    used = np.empty(0, np.int64)
-    if xs:
-        x, y, at = np.concatenate(xs), np.concatenate(ys), np.concatenate(keys)
-        used, inverse = np.unique(np.concatenate([x, y]), return_inverse=True)
-        homes, probes = _all_cells([packed[k] for k in used])
-        u, v = inverse[: len(x)], inverse[len(x) :]
-        for a in range(0, len(x), PAIRS_AT_ONCE):
-            p, q = u[a : a + PAIRS_AT_ONCE], v[a : a + PAIRS_AT_ONCE]
-            here = _first_shared(homes[p], probes[p], homes[q], probes[q]) == at[a : a + PAIRS_AT_ONCE]
-            np.add.at(links, x[a : a + PAIRS_AT_ONCE][here], copies[y[a : a + PAIRS_AT_ONCE][here]])
-            np.add.at(links, y[a : a + PAIRS_AT_ONCE][here], copies[x[a : a + PAIRS_AT_ONCE][here]])
-        label = _block_labels(len(packed), [(x, y)])
-    back = list(number)
-    return pa.table({
-        "node": pa.array([back[k] for k in used], pa.binary()),
-        "links": pa.array(links[used]),
-        "root": pa.array([back[label[k]] for k in used], pa.binary()),
-    })
+    key, low, high, part, home = (group[c][rows] for c in ("key", "low", "high", "part", "home"))
+    new = np.flatnonzero((np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1
+    start = np.concatenate([[0], new])
+    sizes = np.diff(np.concatenate([start, [len(rows)]]))
+    whole = low[start] == high[start]
+    small = whole & (sizes <= SMALL_CELL)
+    for i, j in _listed(sizes[small], start[small]):
+        met = (home[i] | home[j]) > 0
+        i, j = i[met], j[met]
+        near = np.einsum("nd,nd->n", unit[i], unit[j]) >= THRESHOLD
+        yield rows[i[near]], rows[j[near]]
+    for a, n, same in zip(start[~small], sizes[~small], whole[~small], strict=True):
+        cell = np.arange(a, a + n)
+        left, right = (cell, cell) if same else (cell[part[cell] == low[a]], cell[part[cell] != low[a]])
+        near = unit[left] @ unit[right].T >= THRESHOLD
+        near &= (home[left][:, None] | home[right][None, :]) > 0
+        i, j = np.nonzero(np.triu(near, 1) if same else near)
+        yield rows[left[i]], rows[right[j]]
+
+
+def _compared(blocks: int) -> Callable[[pa.Table], pa.Table]:
+    def compare(group: pa.Table) -> pa.Table:
+        """Links of the vectors of some cells, or pairs of blocks of cells.
+
+        A pair that meets in several cells is counted in one of them.
+        """
+        names = group.column("node").to_pylist()
+        number = {name: k for k, name in enumerate(dict.fromkeys(names))}
+        node = np.array([number[name] for name in names])
+        first_row = np.unique(node, return_index=True)[1]
+        packed = group.column("vector").take(pa.array(first_row)).to_pylist()
+        copies = group.column("copies").to_numpy()[first_row]
+        columns = {c: group.column(c).to_numpy() for c in ("key", "low", "high", "part", "home")}
+        order = np.lexsort((columns["high"], columns["low"], columns["key"]))
+        links, label = np.zeros(len(packed), np.int64), np.arange(len(packed))
+        seen, joined, known = np.zeros(len(packed), bool), [], _Cells(packed, blocks)
+        for size_rows, unit in _units(packed).values():
+            place = np.full(len(packed), -1)
+            place[size_rows] = np.arange(len(size_rows))
+            rows = order[place[node[order]] >= 0]
+            for i, j in _near_pairs(columns, unit[place[node[rows]]], rows):
+                for a in range(0, len(i), PAIRS_AT_ONCE):
+                    p, q = i[a : a + PAIRS_AT_ONCE], j[a : a + PAIRS_AT_ONCE]
+                    x, y = node[p], node[q]
+                    here = _in_first_cell(known, x, y, columns["key"][p])
+                    np.add.at(links, x[here], copies[y[here]])
+                    np.add.at(links, y[here], copies[x[here]])
+                    seen[x] = seen[y] = True
+                    joined.append(np.unique(np.stack([x, y], axis=1), axis=0))
+        if joined:
+            label = _block_labels(len(packed), np.unique(np.concatenate(joined), axis=0))
+        back, used = list(number), np.flatnonzero(seen)
+        return pa.table({
+            "node": pa.array([back[k] for k in used], pa.binary()),
+            "links": pa.array(links[used]),
+            "root": pa.array([back[label[k]] for k in used], pa.binary()),
+        })
+
+    return compare
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -249,15 +321,16 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     nodes = stored(rows.where("node is not null").groupBy("node").agg(
         F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.min("vector").alias("vector")
     ))
-    at = stored(nodes.select("node", "vector").mapInArrow(_placed, "node binary, key long, home int"))
+    tables, blocks = layout(nodes.count())
+    at = stored(nodes.select("node", "vector").mapInArrow(_placed(tables, blocks), "node binary, key long, home int"))
     busy = at.groupBy("key").agg(F.count("*").alias("n"), F.max("home").alias("any_home")).where("n > 1 and any_home = 1").select("key", "n")
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
-    members = at.join(busy, "key").select("key", "node", "home", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "key"), blocks).alias("part"))
-    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pieces = F.ceil(F.col("n") / BLOCK_ROWS)
+    members = at.join(busy, "key").select("key", "node", "home", pieces.alias("pieces"), F.pmod(F.xxhash64("node", "key"), pieces).alias("part"))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
     dealt = stored(dealt.select("key", "node", "home", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")))
     groups = max(1, dealt.count() // GROUP_ROWS)
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
-    found = dealt.join(nodes.drop("first_id"), "node").groupBy("task").applyInArrow(_compared, "node binary, links long, root binary")
+    found = dealt.join(nodes.drop("first_id"), "node").groupBy("task").applyInArrow(_compared(blocks), "node binary, links long, root binary")
     found = stored(found)
 
     labels = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

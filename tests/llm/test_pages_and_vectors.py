@@ -158,29 +158,57 @@ def test_links_of_vectors(spark, monkeypatch):
     assert found[106]["component_id"] == 105 and found[106]["n_links"] == 1
 
 
-def test_recall_of_the_index():
-    rng = np.random.default_rng(1)
-    a = rng.normal(size=(2000, 64))
+def meet(a, b, size):
+    """Whether the index for so many vectors brings the rows of a and b together."""
+    tables, blocks = lattice_dedup.layout(size)
+    rows = np.arange(len(a))
+    met = np.zeros(len(a), bool)
+    for t in range(tables):
+        cells = [np.concatenate(x) for x in zip(lattice_dedup.cells(a, t, blocks), lattice_dedup.cells(b, t, blocks), strict=True)]
+        met |= lattice_dedup._shared(*cells, rows, rows + len(a)) < lattice_dedup.NONE
+    return met
+
+
+def pairs_of(seed, n, low, high):
+    rng = np.random.default_rng(seed)
+    a = rng.normal(size=(n, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     v = rng.normal(size=a.shape)
     v -= (v * a).sum(axis=1, keepdims=True) * a
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    cosines = rng.uniform(0.9, 1, 2000)[:, None]
-    one, two = lattice_dedup.cells(a), lattice_dedup.cells(cosines * a + np.sqrt(1 - cosines**2) * v)
-    assert (lattice_dedup._first_shared(*one, *two) < np.iinfo(np.int64).max).mean() >= 0.9
+    cosines = rng.uniform(low, high, n)[:, None]
+    return a, cosines * a + np.sqrt(1 - cosines**2) * v
 
 
+SIZES = [most for most, _, _ in lattice_dedup.LAYOUTS]
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_recall_of_the_index(size):
+    assert meet(*pairs_of(1, 2000, 0.9, 1), size).mean() >= 0.9
+
+
+@pytest.mark.parametrize("size", SIZES)
 @pytest.mark.parametrize(("low", "high"), [(0.9, 0.901), (0.9, 0.91), (0.91, 0.92), (0.92, 0.93)])
-def test_recall_at_the_threshold(low, high):
-    rng = np.random.default_rng(2)
-    a = rng.normal(size=(3000, 64))
-    a /= np.linalg.norm(a, axis=1, keepdims=True)
-    v = rng.normal(size=a.shape)
-    v -= (v * a).sum(axis=1, keepdims=True) * a
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    cosines = rng.uniform(low, high, 3000)[:, None]
-    one, two = lattice_dedup.cells(a), lattice_dedup.cells(cosines * a + np.sqrt(1 - cosines**2) * v)
-    assert (lattice_dedup._first_shared(*one, *two) < np.iinfo(np.int64).max).mean() >= 0.99
+def test_recall_at_the_threshold(low, high, size):
+    assert meet(*pairs_of(2, 3000, low, high), size).mean() >= 0.99
+
+
+def test_links_equal_brute_force(spark, monkeypatch):
+    """Groups of near copies of many sizes, in cells compared whole and in blocks."""
+    monkeypatch.setattr(lattice_dedup, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(lattice_dedup, "GROUP_ROWS", 300)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 32))
+    x = np.concatenate([c + rng.normal(0, 0.2, (n, 32)) for c, n in zip(centres, [1, 2, 3, 5, 8, 13, 21, 34, 55, 2, 1, 1], strict=True)])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= lattice_dedup.THRESHOLD
+    assert 50 < near.sum() - len(x) < near.size / 4
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: r["n_links"] for r in lattice_dedup.near_duplicates(df).collect()}
+    missed = sum((near[i].sum() - 1) - got[i] for i in range(len(x)))
+    assert all(got[i] <= near[i].sum() - 1 for i in range(len(x)))
+    assert missed <= 0.01 * (near.sum() - len(x))
 
 
 def test_probed_points_are_the_second_nearest():
