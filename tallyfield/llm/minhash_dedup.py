@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyfield.llm.common import checkpoint, slices, stored, table
@@ -240,8 +239,8 @@ def _linked(group: pa.Table, threshold: int) -> pa.Table:
 
 def _across(rest: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Edges between components that share a bucket; ``rest`` has key, band, node and root."""
-    blocks = F.ceil(F.count("*").over(W.partitionBy("key")) / BLOCK_ROWS)
-    members = rest.select("key", "band", "node", "root", blocks.alias("blocks"))
+    sizes = stored(rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks")))
+    members = rest.join(sizes, "key").select("key", "band", "node", "root", "blocks")
     members = members.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("key", "band", "node", "root", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
@@ -277,16 +276,20 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     nodes = stored(nodes)
     bands = [F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)]
     keyed = nodes.select("node", "first_id", F.posexplode(F.array(*bands)).alias("band", "key"))
-    key = W.partitionBy("key")
-    shared = keyed.select(
-        "*", F.count("*").over(key).alias("size"), F.min("node").over(key).alias("low"), F.max("node").over(key).alias("high")
-    ).where("size > 1")
-    shared = stored(shared)
+    # Sizes are summed in every task and stored, so that Spark can split the rows of a large bucket in the join.
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = stored(keyed.join(stored(buckets.where("size > 1")), "key"))
 
     wanted = shared.select("node", "first_id").distinct().select(F.col("first_id").alias("doc_id"), F.col("node").alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = texts.join(wanted, "doc_id").select("wanted", "text")
     sets = sets.mapInArrow(_full_sets, "node binary, wanted binary, items array<long>").where("node = wanted").select("node", "items")
+    # Rows that repeat an id and a text give one set.
+    repeated = checkpoint(linked.groupBy("doc_id", "node").count().where("count > 1").select("node").distinct())
+    if not repeated.isEmpty():
+        sets = stored(sets)
+        once = sets.join(repeated, "node", "left_semi").dropDuplicates(["node"])
+        sets = sets.join(repeated, "node", "left_anti").union(once)
     sets = stored(sets)
 
     def star(end: str) -> DataFrame:
@@ -298,8 +301,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     rest = shared.where("size > 3").select("key", "band", "node").join(labels, "node", "left")
     rest = rest.select("key", "band", "node", F.coalesce("root", "node").alias("root"))
-    rest = rest.select("*", F.min("root").over(key).alias("main"), F.max("root").over(key).alias("last")).where("main <> last")
-    rest = checkpoint(rest.select("key", "band", "node", "root"))
+    rest = stored(rest)
+    mixed = rest.groupBy("key").agg(F.min("root").alias("main"), F.max("root").alias("last")).where("main <> last")
+    rest = stored(rest.join(stored(mixed.select("key")), "key").select("key", "band", "node", "root"))
     if not rest.isEmpty():
         edges = edges.union(checkpoint(_across(rest, nodes, sets, threshold)))
         labels = connected_components(edges)
