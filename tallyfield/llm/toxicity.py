@@ -173,11 +173,17 @@ def train(texts: list[str], labels: list[int], steps: int = 400) -> Lexicon:
 
 
 def trained_on(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """A lexicon from a bounded sample (``SAMPLE_ROWS``) of labelled documents."""
+    """A lexicon from a bounded sample (``SAMPLE_ROWS``) of labelled documents.
+
+    Labels other than 0 and 1 and null ids are left out, null texts count as empty. Of rows that
+    repeat an id, the smallest text counts, so that no more texts than labels reach the driver.
+    Without labels the lexicon is empty.
+    """
     marked = labels.where("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     sample = bounded_sample(marked, "doc_id", SAMPLE_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id", "text").collect()
+    found = texts.join(F.broadcast(sample.distinct()), "doc_id").groupBy("doc_id", "toxic")
+    rows = found.agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).orderBy("doc_id", "text", "toxic").collect()
     return train([r["text"] or "" for r in rows], [r["toxic"] for r in rows])
 
 

@@ -96,6 +96,30 @@ def test_minhash_compares_crowded_buckets_in_blocks(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(docs.collect())
 
 
+def test_minhash_takes_one_set_of_repeated_rows(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    texts = {1: " ".join(words), 2: " ".join([*words[:-1], "other"]), 3: "nothing like the others at all"}
+    rows = [(i, t) for i, t in texts.items() for _ in range(60)]
+    counted = []
+    verified = minhash_dedup._verified
+    monkeypatch.setattr(minhash_dedup, "_verified", lambda p, n, sets, t: counted.append(sets.count()) or verified(p, n, sets, t))
+    found = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter((r["doc_id"], r["component_id"]) for r in found.collect()) == {(1, 1): 60, (2, 1): 60, (3, 3): 60}
+    assert counted == [2]
+
+
+def test_toxicity_learns_from_one_text_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(2, None), (3, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: seen.append((texts, marks)) or train(texts, marks))
+    toxicity.trained_on(docs, labels)
+    assert seen == [(["text 0", ""], [1, 0])]
+    empty = toxicity.trained_on(docs, labels.limit(0))
+    assert toxicity.scored(docs, empty).count() == 302
+
+
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(0)
     items = rng.integers(0, 2**63, 3000).astype(np.uint64)
