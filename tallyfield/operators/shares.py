@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyfield.functions.columns import flag, mean_of, ratio
+from tallyfield.operators.groups import HEAVY_GROUPS, bounded
 
 
 def conditional_ratio(
@@ -29,17 +30,19 @@ def count_conditions(rows: DataFrame, conditions: Mapping[str, Column]) -> DataF
 
 
 def share_of_parent(
-    summary: DataFrame, parent: str, measure: str, name: str = "share"
+    summary: DataFrame, parent: str, measure: str, name: str = "share", max_parents: int = HEAVY_GROUPS
 ) -> DataFrame:
     """Add the share of ``measure`` in its total over ``parent``.
 
-    ``summary`` holds one row per child, and a second, combined aggregate sums them, so that a
-    parent with very many children is not gathered in one task. Rows without a parent drop out.
+    ``summary`` holds one row per child. A second, combined aggregate sums them, and the totals, a
+    row for each code of a list, are broadcast after a check that there are no more than
+    ``max_parents``. So the children of a parent are not gathered in one task. Rows without a
+    parent drop out.
     """
     total = "parent_total"
-    totals = summary.groupBy(parent).agg(F.sum(measure).alias(total))
-    shared = summary.join(totals, parent)
-    return shared.withColumn(name, ratio(F.col(measure), F.col(total))).drop(total).select(*summary.columns, name)
+    totals = summary.filter(F.col(parent).isNotNull()).groupBy(parent).agg(F.sum(measure).alias(total))
+    shared = summary.join(bounded(totals, max_parents), parent).select(*summary.columns, total)
+    return shared.withColumn(name, ratio(F.col(measure), F.col(total))).drop(total)
 
 
 def running_share(
