@@ -40,7 +40,7 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -111,7 +111,13 @@ def _hidden_ends(source: str) -> dict[int, int]:
     """
     ends: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}
     position = 0
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop()[0]].pop()
+
     while found := TOKEN.search(source, position):
         position = found.end()
         closing, tag, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
@@ -119,17 +125,18 @@ def _hidden_ends(source: str) -> dict[int, int]:
         if tag in HIDDEN or tag == "foreignobject":
             if not closing:
                 if not attributes.endswith("/"):
+                    places.setdefault(tag, []).append(len(stack))
                     stack.append((tag, position))
                 continue
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == tag), None)
-            if depth is not None:
+            if places.get(tag):
+                depth = places[tag][-1]
                 ends[stack[depth][1]] = position
-                del stack[depth:]
+                cut(depth)
         elif tag in RAW and not closing:
             position = position if attributes.endswith("/") and tag not in ("script", "style") else _raw_end(source, tag, position)
         elif tag in CLOSES_P and tag != "hr" and not closing:
             while stack and stack[-1][0] in ("svg", "select"):
-                stack.pop()
+                cut(len(stack) - 1)
     return ends
 
 
@@ -137,9 +144,12 @@ def parsed(source: str) -> Page:
     """The block tree of a page, however broken its markup is."""
     page = Page([Node("#page", -1)])
     nodes, runs = page.nodes, page.runs
-    # Open elements as (tag, node); inline ones share the node of the block around them.
+    # Open elements as (tag, node); inline ones share the node of the block around them. The places of
+    # each tag, and of the blocks, save looking through the stack.
     stack = [("#page", 0)]
-    links, at, position = 0, 0, 0
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    at, position = 0, 0
     waiting: list[str] = []
     hidden: dict[int, int] | None = None
 
@@ -157,14 +167,24 @@ def parsed(source: str) -> Page:
         if size:
             node = nodes[stack[-1][1]]
             node.chars += size
-            node.linked += size if links else 0
+            node.linked += size if places.get("a") else 0
             node.stops += plain.count(".") + plain.count("!") + plain.count("?")
 
+    def opened(tag: str, node: int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            blocks.append(len(stack))
+        stack.append((tag, node))
+
+    def last(tag: str) -> int:
+        """The place of the last open element of a tag, 0 if there is none."""
+        return places[tag][-1] if places.get(tag) else 0
+
     def close(depth: int) -> None:
-        nonlocal links
         while len(stack) > depth:
-            tag, _ = stack.pop()
-            links -= tag == "a"
+            places[stack.pop()[0]].pop()
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
 
     end = len(source)
     while position < end:
@@ -178,8 +198,8 @@ def parsed(source: str) -> Page:
             continue
         tag = tag.lower()
         if closing:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
-            if depth and tag in INLINE and any(stack[d][0] not in INLINE for d in range(depth, len(stack))):
+            depth = last(tag)
+            if tag in INLINE and blocks and blocks[-1] > depth:
                 depth = 0
             if depth:
                 if tag not in INLINE:
@@ -198,24 +218,20 @@ def parsed(source: str) -> Page:
             if tag == "br":
                 waiting.append(" ")
             elif tag not in VOID and not attributes.endswith("/"):
-                stack.append((tag, stack[-1][1]))
-                links += tag == "a"
+                opened(tag, stack[-1][1])
             continue
         flush()
         if tag in VOID:
             continue
         if tag in CLOSES_P:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == "p"), 0)
-            if depth and all(stack[d][0] in INLINE for d in range(depth + 1, len(stack))):
+            depth = last("p")
+            if depth and blocks[-1] == depth:
                 close(depth)
-        for d in range(len(stack) - 1, 0, -1):
-            if stack[d][0] in SIBLINGS.get(tag, ()):
-                close(d)
-                break
-            if stack[d][0] in SCOPES.get(tag, ()):
-                break
+        sibling = max(map(last, SIBLINGS.get(tag, ())), default=0)
+        if sibling and sibling >= max(map(last, SCOPES.get(tag, ())), default=0):
+            close(sibling)
         nodes.append(Node(tag, stack[-1][1], attributes))
-        stack.append((tag, len(nodes) - 1))
+        opened(tag, len(nodes) - 1)
     if at < end:
         add(source[at:])
     flush()

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -128,6 +129,14 @@ def test_odd_pages(spark, model):
     assert len(rows) == 5 and all(r["n_chars"] == len(r["text"]) for r in rows)
 
 
+@pytest.mark.parametrize("part", ["<div>", "<b></i>", "<ul><li><b>", "<svg></g><foreignObject>", "<p><em>", "<!x", "<iframe>"])
+def test_time_to_parse_grows_with_the_page(part):
+    start = time.process_time()
+    html_extract.parsed(part * 60_000)
+    # Looking through all open elements for each would take minutes.
+    assert time.process_time() - start < 20
+
+
 def test_points_are_of_the_lattice_and_nearest():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 1, (300, 8))
