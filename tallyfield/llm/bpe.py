@@ -5,7 +5,8 @@ one token, so the text may be cut between them. Fragments between such cuts are
 their own and remembered; the ids of a text are those of its fragments in order.
 
 Letters and cases are those of the Unicode data at hand; code points that Unicode 16 or later
-assigned may be split unlike the library's.
+assigned may be split unlike the library's. Marks that the library's normaliser does not know
+neither move nor combine, as there.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -29,6 +31,27 @@ VOCABULARY = "word_bpe_49k.json"
 # Entries a task remembers before it starts anew.
 REMEMBERED = 400_000
 SHORT = 48
+# Combining characters that the library's normaliser takes for ordinary letters.
+UNKNOWN_MARKS = (
+    "07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF "
+    "10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 "
+    "11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+)
+
+
+def _characters(ranges: str) -> str:
+    """A class of a pattern from ranges of code points."""
+    return "[" + "".join("-".join(chr(int(x, 16)) for x in part.split("-")) for part in ranges.split()) + "]"
+
+
+UNKNOWN_MARK = re.compile(f"({_characters(UNKNOWN_MARKS)})")
+
+
+def normalised(text: str) -> str:
+    """NFC as the library has it: an unknown mark stays in its place, and nothing passes it."""
+    if text.isascii() or not UNKNOWN_MARK.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join([unicodedata.normalize("NFC", part) for part in UNKNOWN_MARK.split(text)])
 
 
 def byte_letters() -> list[str]:
@@ -136,7 +159,7 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         known, make = self.chunks.get, self.chunk
-        normal = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        normal = normalised(text).replace("Σ", "σ").lower()
         return b"".join([known(c) or make(c) for c in normal.encode("utf-8").split()])
 
     def encode(self, text: str) -> bytes:

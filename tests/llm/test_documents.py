@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import sys
+import unicodedata
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -243,6 +245,18 @@ def test_scan_learns_and_masks(docs):
     assert out[60]["text"] is None
 
 
+def test_marks_are_normalised_as_in_the_library():
+    library = pytest.importorskip("tokenizers").normalizers.NFC().normalize_str
+    marks = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.combining(c)]
+    one_of_each = {unicodedata.combining(c): c for c in marks}.values()
+    unknown = [c for c in [*marks, "\U00011930"] if bpe.UNKNOWN_MARK.match(c)]
+    assert len(unknown) == 109
+    for a in [*one_of_each, *unknown]:
+        for b in marks:
+            for text in (f"e{a}{b}", f"\U00011935{b}{a}x{a}"):
+                assert bpe.normalised(text) == library(text), text.encode("unicode_escape")
+
+
 @pytest.fixture(scope="module")
 def network():
     return secret_scan.train(["alpha beta gamma delta report guide section index archive", "one two three"])
