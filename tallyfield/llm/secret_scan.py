@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and a convolutional network over characters.
 
-The patterns give the base findings. The network reads every other candidate (a run of token
-characters with letters and digits, a shorter or plainer one beside a credential word, and what a
-base finding leaves of its run) with its surroundings; it is trained in numpy on generated
-findings and plainly harmless real candidates, its logits are calibrated on a held-out part, and the thresholds are the highest ones
+The patterns give the base findings. The network reads every other candidate with its
+surroundings: runs of token characters with letters and digits, longer runs of whatever token
+characters, values of any characters that a credential word introduces, and what a base finding
+leaves of its run. It is trained in numpy on generated findings and plainly harmless real
+candidates, its logits are calibrated on a held-out part, and the thresholds are the highest ones
 that keep the wanted recall there for every kind of secret that the patterns miss.
 """
 
@@ -31,13 +32,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 HAS_BOTH = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])")
-# What a credential word introduces is a candidate from SHORT characters on, of whatever characters.
+# Runs of so many token characters are candidates without a letter or a digit too.
+LONG = 20
+# What a credential word introduces is a candidate from SHORT characters on, of whatever characters:
+# up to the closing quote, or to white space, a bracket or a mark that ends the value.
 SHORT = 6
 CREDENTIAL = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|login|bearer|(?:(?:api|access|private|secret)[ _-]?)?key)["']?"""
-    r"""(?:\x20{0,4}[:=]\x20{0,4}|\x20is\x20)["']?([A-Za-z0-9+/_=.~-]{6,})""",
+    r"""(?:[\x20\t]{0,4}[:=]>?[\x20\t]{0,4}|\x20is\x20)(?:"([^"\s]{6,})(?=")|'([^'\s]{6,})(?=')|["'`]?([^\s"'`<>,;()\[\]{}]{6,}))""",
     re.ASCII | re.IGNORECASE,
 )
+VALUE = re.compile(r"""[^\s"'`<>,;()\[\]{}]*""")
+ENDS = ".!?:"
+# How a candidate comes to be one; each way has its own threshold.
+RUN, NEAR, PLAIN_RUN = range(3)
 # A word that stands by itself, and the words and numbers of a run.
 PLAIN = re.compile(r"(?<!\S)[A-Za-z][a-z]{1,19}(?=[\s.,;:!?]|\Z)")
 PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -48,7 +56,8 @@ LEFT, BODY, RIGHT = 24, 40, 8
 # secret than KNOWN_PART teaches nothing.
 STRIDE, KNOWN_PART = 20, 14
 WIDTH, EMBEDDED, FILTERS, KERNEL = LEFT + BODY + RIGHT, 8, 16, 5
-# Training reads at most this many documents and generates this many findings of each label.
+# Training reads at most this many documents and generates this many findings of each label and kind,
+# twice as many beside credential words.
 SAMPLE_DOCS, GENERATED = 4000, 1500
 RECALL = 0.99
 SEED = 20
@@ -62,12 +71,24 @@ def base_findings(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
-    """(start, end, near) of the runs of token characters to be judged, apart from the base findings.
+def introduced(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the values that credential words introduce, without the marks that end a sentence."""
+    out = []
+    for m in CREDENTIAL.finditer(text):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 3:
+            end = start + len(m.group(3).rstrip(ENDS))
+        if end - start >= SHORT:
+            out.append((start, end))
+    return out
 
-    Runs of 12 characters with a letter and a digit are candidates anywhere; others of ``SHORT``
-    characters where they are ``near``: introduced by a credential word, or what a base finding
-    leaves of its run.
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, way) of what is to be judged, apart from the base findings.
+
+    Runs of 12 token characters with a letter and a digit, and of ``LONG`` without, are candidates
+    anywhere; others of ``SHORT`` characters where they are ``NEAR``: introduced by a credential
+    word, or what a base finding leaves of its run or value.
     """
     covered: list[list[int]] = []
     for start, end in sorted((s, e) for s, _, e in base):
@@ -77,37 +98,46 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             covered.append([start, end])
     # What the base findings leave of their runs, to the left and the right.
     found, done = set(), 0
+    assigned = {end for _, kind, end in base if kind == 0}
     for i, (start, end) in enumerate(covered):
         a, b, stop = start, end, covered[i + 1][0] if i + 1 < len(covered) else len(text)
         while a > done and text[a - 1] in TOKEN_CHARS:
             a -= 1
-        while b < stop and text[b] in TOKEN_CHARS:
-            b += 1
+        if end in assigned:
+            b = VALUE.match(text, end, stop).end()
+            if b < stop:
+                b = end + len(text[end:b].rstrip(ENDS))
+        else:
+            while b < stop and text[b] in TOKEN_CHARS:
+                b += 1
         found |= {(a, start), (end, b)}
         done = end
     touched = [(s, e) for s, e in found if e - s >= SHORT]
     values, at = [], 0
-    for m in CREDENTIAL.finditer(text):
-        start, end = m.span(1)
+    for start, end in introduced(text):
         while at < len(covered) and covered[at][1] <= start:
             at += 1
         if at == len(covered) or end <= covered[at][0]:
             values.append((start, end))
-    # A run that a credential word divides is judged in two parts.
-    wanted, at = set(touched) | set(values), 0
+    # A run that a credential word divides is judged in two parts; one within a value, with the value.
+    near, at, v = set(touched) | set(values), 0, 0
+    wanted = set(near)
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         while at < len(covered) and covered[at][1] <= start:
             at += 1
-        if (at == len(covered) or end <= covered[at][0]) and HAS_BOTH.match(m.group()):
-            inside = [s for s, _ in values if start < s < end] if values else []
-            wanted.add((start, min(inside, default=end)))
+        if (at == len(covered) or end <= covered[at][0]) and (end - start >= LONG or HAS_BOTH.match(m.group())):
+            while v < len(values) and values[v][1] <= start:
+                v += 1
+            if v < len(values) and values[v][0] < end:
+                end = values[v][0]
+            if start < end:
+                wanted.add((start, end))
     out = []
-    near = set(touched) | set(values)
     for start, end in sorted(wanted):
-        only_near = is_near(text, start, end)
-        if not only_near or (start, end) in near:
-            out.append((start, end, only_near))
+        way = way_of(text, start, end, (start, end) in near)
+        if way is not None:
+            out.append((start, end, way))
     return out
 
 
@@ -140,6 +170,7 @@ class Network:
     shift: float = 0.0
     threshold: float = 0.5
     near_threshold: float = 0.5
+    plain_threshold: float = 0.5
 
     REGIONS = ((0, LEFT), (LEFT, LEFT + BODY - KERNEL + 1), (LEFT + BODY - KERNEL + 1, WIDTH - KERNEL + 1))
 
@@ -212,14 +243,18 @@ class Network:
                     move = first[n] / (1 - 0.9**step) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
                     setattr(self, n, getattr(self, n) - rate * move)
 
-    def calibrate(self, z: np.ndarray, y: np.ndarray, near: np.ndarray, kind: np.ndarray, recall: float) -> None:
+    def least(self, way: int) -> float:
+        return (self.threshold, self.near_threshold, self.plain_threshold)[way]
+
+    def calibrate(self, z: np.ndarray, y: np.ndarray, way: np.ndarray, kind: np.ndarray, recall: float) -> None:
         """Fit scale and shift of the logits, then take the highest thresholds with the wanted recall in every kind."""
         for _ in range(500):
             p = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -50, 50)))
             self.scale -= 0.05 * float(((p - y) * z).mean())
             self.shift -= 0.5 * float((p - y).mean())
-        self.threshold, self.near_threshold = (
-            min([self._keeping(z[(y == 1) & which & (kind == k)], recall) for k in np.unique(kind[(y == 1) & which])], default=0.5) for which in (~near, near)
+        self.threshold, self.near_threshold, self.plain_threshold = (
+            min([self._keeping(z[(y == 1) & (way == w) & (kind == k)], recall) for k in np.unique(kind[(y == 1) & (way == w)])], default=0.5)
+            for w in (RUN, NEAR, PLAIN_RUN)
         )
 
     def _keeping(self, z: np.ndarray, recall: float) -> float:
@@ -289,7 +324,8 @@ def near_findings(words: list[str], n: int, seed: int = SEED + 2) -> list[tuple[
     rng = random.Random(seed)
     alnum, hexa = string.ascii_letters + string.digits, "0123456789abcdef"
     plain = sorted({w.lower() for w in words if w.isascii() and w.isalpha() and len(w) > 1}) or ["item"]
-    names = ("pwd", "passphrase", "passcode", "pin", "key", "access key", "private key", "credential", "auth", "login", "bearer", "pass")
+    names = ("pwd", "passphrase", "passcode", "pin", "key", "access key", "private key", "credential", "auth", "login", "bearer", "pass", "DB_PASS", "Secret", "password", "token")
+    special = "@#$%^&*!?|\\~+="
     said = ("required", "optional", "string", "undefined", "unknown", "missing", "invalid", "changed", "important", "disabled", "expired", "example", "placeholder")
 
     def run(letters: str, low: int, high: int) -> str:
@@ -299,10 +335,13 @@ def near_findings(words: list[str], n: int, seed: int = SEED + 2) -> list[tuple[
         lambda: run(alnum, 6, 11), lambda: run(string.ascii_letters, 8, 24), lambda: run(string.digits, 6, 16),
         lambda: "".join(rng.choices(plain, k=rng.randint(2, 4))), lambda: "-".join(rng.choices(plain, k=4)),
         lambda: rng.choice(plain).replace("o", "0").replace("e", "3").replace("i", "1") + run(string.digits, 2, 5),
+        lambda: run(alnum, 1, 5) + rng.choice(special) + run(alnum + special, 3, 14) + run(alnum, 1, 2),
+        lambda: rng.choice(plain).title().replace("a", "@").replace("s", "$") + rng.choice("!#*_") + run(string.digits, 2, 4),
     )
     harmless = (
         lambda: rng.choice(said), lambda: rng.choice(plain), lambda: f"{rng.choice(plain)}.{rng.choice(said)}",
         lambda: f"your_{rng.choice(plain)}_here", lambda: f"config.{rng.choice(plain)}", lambda: f"get_{rng.choice(plain)}",
+        lambda: f"{rng.choice(plain)}&{rng.choice(said)}", lambda: f"${rng.choice(plain)}_{rng.choice(said)}", lambda: f"{rng.choice(said)}|{rng.choice(said)}",
     )
     out = []
     while len(out) < 2 * n:
@@ -320,13 +359,44 @@ def near_findings(words: list[str], n: int, seed: int = SEED + 2) -> list[tuple[
                     out.append((out_left + run(hexa, 24, 32) + " end", len(left), len(out_left), label))
                 continue
         else:
-            left += rng.choice(names) + rng.choice((": ", "=", " = ", ":", ' = "', " is "))
+            left += rng.choice(names) + rng.choice((": ", "=", " = ", ":", ' = "', " is ", ":\t", " => '"))
             rest = rng.choice(secrets if label else harmless)()
         if len(rest) >= SHORT:
             out.append((left + rest + " " + " ".join(rng.choices(words, k=3)), len(left), len(left) + len(rest), label))
     return out
 
 
+def plain_findings(words: list[str], n: int, seed: int = SEED + 3) -> list[tuple[str, int, int, int]]:
+    """(text, start, end, label) of long made-up runs without digits or without letters."""
+    rng = random.Random(seed)
+    known = sorted({w.lower() for w in words if w.isascii() and w.isalpha() and len(w) > 1}) or ["item"]
+
+    def run(letters: str) -> str:
+        return "".join(rng.choices(letters, k=rng.randint(LONG, 64)))
+
+    def joined(by: str, title: bool = False) -> str:
+        out = ""
+        while len(out) < LONG + rng.randint(0, 20):
+            word = rng.choice(known)
+            out += by * bool(out) + (word.title() if title else word)
+        return out
+
+    secrets = (
+        lambda: run(string.ascii_letters), lambda: run(string.ascii_letters + "+/") + rng.choice(("", "=", "==")), lambda: run(string.ascii_lowercase),
+        lambda: run(string.ascii_uppercase), lambda: run(string.digits), lambda: rng.choice(("ghp_", "sk-", "xoxb-")) + run(string.ascii_letters),
+    )
+    harmless = (
+        lambda: joined("-"), lambda: joined("_"), lambda: joined("."), lambda: joined("/"), lambda: "/" + joined("/"), lambda: joined("", True),
+        lambda: joined("_").upper(), lambda: rng.choice("-=_~.+") * rng.randint(LONG, 90), lambda: "-=" * rng.randint(LONG, 40), lambda: joined(""),
+    )
+    out = []
+    while len(out) < 2 * n:
+        label = len(out) % 2
+        value, left = rng.choice(secrets if label else harmless)(), " ".join(rng.choices(words, k=4)) + rng.choice((" ", " ", "\n", " key ", ' "', " ("))
+        out.append((left + value + rng.choice((" ", "\n", ". ")) + " ".join(rng.choices(words, k=3)), len(left), len(left) + len(value), label))
+    return out
+
+
 def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
     """(text, start, end, 0) of the candidates in real texts that are plainly harmless.
 
@@ -338,17 +408,19 @@ def labelled_findings(texts: list[str]) -> list[tuple[str, int, int, int]]:
     out = []
     for text in texts:
         base = base_findings(text)
-        said = {m.start(1) for m in CREDENTIAL.finditer(text)}
-        for start, end, near in candidates(text, base):
-            beside = near or start in said or any(start == e or end == b for b, _, e in base)
+        said = {start for start, _ in introduced(text)}
+        for start, end, way in candidates(text, base):
+            beside = way == NEAR or start in said or any(start == e or end == b for b, _, e in base)
             if not beside and all(p.lower() in known or (p.isdigit() and len(p) < 5) for p in PIECE.findall(text[start:end])):
                 out.append((text, start, end, 0))
     return out
 
 
-def is_near(text: str, start: int, end: int) -> bool:
-    """Whether only its surroundings make a run a candidate."""
-    return end - start < 12 or not HAS_BOTH.match(text[start:end])
+def way_of(text: str, start: int, end: int, near: bool) -> int | None:
+    """How a span comes to be a candidate, if it is one; ``near`` if its surroundings make it one."""
+    if end - start >= 12 and HAS_BOTH.match(text[start:end]):
+        return RUN
+    return NEAR if near else PLAIN_RUN if end - start >= LONG else None
 
 
 def train(texts: list[str], recall: float = RECALL) -> Network:
@@ -356,7 +428,7 @@ def train(texts: list[str], recall: float = RECALL) -> Network:
     words = [w for t in texts[:400] for w in t.split()[:200]] or ["text"]
     parts = [
         [(t, s, e, label, s) for t, s, e, label in labelled_findings(texts)], [(t, s, e, label, s) for t, s, e, label in generated_findings(words, GENERATED)],
-        late_findings(words, GENERATED), [(t, s, e, label, s) for t, s, e, label in near_findings(words, GENERATED)],
+        late_findings(words, GENERATED), *([(t, s, e, label, s) for t, s, e, label in made(words, n)] for made, n in ((near_findings, 2 * GENERATED), (plain_findings, GENERATED))),
     ]
     found, kind = [f for part in parts for f in part], np.repeat(np.arange(len(parts)), [len(part) for part in parts])
     y = np.array([label for _, _, _, label, _ in found], float)
@@ -373,8 +445,9 @@ def train(texts: list[str], recall: float = RECALL) -> Network:
     network.fit(np.stack(x), np.array(taught), rng)
     # Base findings reach no threshold: the network is asked about other candidates only.
     out = np.array([i for i in np.flatnonzero(held) if not covered(*found[i][:3])])
-    near = np.array([is_near(*found[i][:3]) for i in out], bool)
-    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], near, kind[out], recall)
+    # The last part is of plain runs; all others that are no runs with both are beside something.
+    way = np.array([way_of(*found[i][:3], kind[i] < len(parts) - 1) for i in out])
+    network.calibrate(network.largest([found[i][:3] for i in out]), y[out], way, kind[out], recall)
     return network
 
 
@@ -391,9 +464,9 @@ def findings(text: str, network: Network) -> list[tuple[int, int, int]]:
 def _findings(texts: list[str], network: Network) -> list[list[tuple[int, int, int]]]:
     found, asked, where = [base_findings(t) for t in texts], [], []
     for i, text in enumerate(texts):
-        for start, end, near in candidates(text, found[i]):
+        for start, end, way in candidates(text, found[i]):
             asked.append((text, start, end))
-            where.append((i, network.near_threshold if near else network.threshold))
+            where.append((i, network.least(way)))
     for (i, least), (_, start, end), score in zip(where, asked, network.probabilities(network.largest(asked)), strict=True):
         if score >= least:
             found[i].append((start, 3, end))

@@ -298,6 +298,30 @@ def test_secrets_beside_findings_and_credential_words_are_found(network):
         assert max(e for *_, e in found) == len(text), text
 
 
+@pytest.mark.parametrize("text, secret", [
+    ("password: P@ssw0rd!2024", "P@ssw0rd!2024"), ("DB_PASS=ab$12kd93 # old", "ab$12kd93"), ("key kJhGfDsAqWeRtYuIoPzXcVbN end", "kJhGfDsAqWeRtYuIoPzXcVbN"),
+    ("-----BEGIN PRIVATE KEY-----\n" + "aQwErTyUiOpAsDfG+HjKlZxCvBnM/qWeRtYu" * 2 + "\n", "aQwErTyUiOpAsDfG+HjKlZxCvBnM/qWeRtYu" * 2),
+    ("the secret:\tabc12345.", "abc12345"), ('{"password": "P@ss(w)0rd,x9"}', "P@ss(w)0rd,x9"), ("token=abcdef123@x!9zK, next", "@x!9zK"),
+])
+def test_values_of_any_characters_are_found(network, text, secret):
+    assert secret in [text[s:e] for s, k, e in secret_scan.findings(text, network) if k == 3]
+
+
+def test_recall_of_every_kind(network):
+    words = ["alpha", "beta", "gamma", "delta", "report", "guide"]
+    for made, least in ((secret_scan.generated_findings, 0.95), (secret_scan.near_findings, 0.9), (secret_scan.plain_findings, 0.9)):
+        hits = []
+        for text, start, end, label in made(words, 300, seed=91):
+            if label and not secret_scan.covered(text, start, end):
+                hits.append(any(s < end and start < e for s, k, e in secret_scan.findings(text, network) if k == 3))
+        assert len(hits) > 100 and np.mean(hits) >= least, made.__name__
+
+
+def test_harmless_runs_are_left(network):
+    text = "see report-guide-section-index-archive ---------------------------- alpha_beta_gamma_delta_report. The key is alpha."
+    assert secret_scan.findings(text, network) == []
+
+
 def test_real_candidates_teach_only_what_is_plainly_harmless():
     text = "the guide of the index, see guide-index-12 or ghp_a8Kx2QwZ7mLp0sVtB4nR or token=abcdef123456 and key: guide-index-13"
     assert [text[s:e] for _, s, e, label in secret_scan.labelled_findings([text]) if label == 0] == ["guide-index-12"]
