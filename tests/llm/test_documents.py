@@ -358,36 +358,102 @@ def test_bpe_of_odd_texts(text):
     assert codec.decode(packed).decode() == library.decode(list(array("I", packed)), skip_special_tokens=False)
 
 
-def test_model_scores_and_counts(docs):
+@pytest.mark.parametrize("known", [brown_lm.KNOWN, 25])
+def test_model_scores_and_counts(docs, monkeypatch, known):
+    monkeypatch.setattr(brown_lm, "KNOWN", known)
+    models, fit = [], brown_lm.fit
+    monkeypatch.setattr(brown_lm, "fit", lambda *a: models.append(fit(*a)) or models[-1])
     training = docs.where("doc_id is null or doc_id % 3 <> 0")
-    rows = rows_of(brown_lm.scored(docs.withColumn("rest", F.lit(1)), training))
-    counts = Counter()
+    rows = rows_of(brown_lm.scored(docs.withColumn("rest", F.lit(1)).withColumn("e", F.lit("x")), training))
+    counts, follows = Counter(), Counter()
     for r in training.collect():
-        counts.update([*WORD.findall(lower(r["text"])), ""])
+        found = [*WORD.findall(lower(r["text"])), ""]
+        counts.update(found)
+        follows.update(zip(["", *found], found, strict=False))
     n, v = sum(counts.values()), len(counts)
     texts = defaultdict(list)
     for r in docs.collect():
         texts[r["doc_id"]].append(r["text"])
     assert Counter(r["doc_id"] for r in rows) == Counter({d: len(t) for d, t in texts.items()})
+    # The model anew from the classes alone.
+    model = models[0]
+    further = {r["word"]: r for r in model.others.collect()}
+    assert len(model.words) <= known + 1 and {w: r["count"] for w, r in further.items()} == {w: c for w, c in counts.items() if w not in model.words}
+
+    def unit(word):
+        at = model.words.index(word) if word in model.words else len(model.words)
+        return at if at <= brown_lm.FREQUENT and word in model.words else 1 + brown_lm.FREQUENT + brown_lm.group_of(word.encode())
+
+    def before(word):
+        return model.label[unit(word)]
+
+    def emitted(word):
+        if word in model.words:
+            return model.emitted[model.words.index(word)]
+        return further[word]["e"] if word in further else model.label[unit(word)]
+
+    table, mass, types = np.zeros((brown_lm.CLASSES,) * 2), Counter(), Counter()
+    for (a, b), k in follows.items():
+        table[before(a), emitted(b)] += k
+    for word, k in counts.items():
+        mass[emitted(word)] += k
+        types[emitted(word)] += 1
+
+    def probability(a, b):
+        h, e = before(a), emitted(b)
+        chosen = (table[h, e] + brown_lm.SMOOTH) / (table[h].sum() + brown_lm.SMOOTH * brown_lm.CLASSES)
+        word = (counts[b] + 0.5) / (mass[e] + 0.5 * (types[e] + 1))
+        return brown_lm.MIX * chosen * word + (1 - brown_lm.MIX) * (counts[b] + 0.5) / (n + 0.5 * (v + brown_lm.CLASSES))
+
     for r in rows:
         found = [*WORD.findall(lower(texts[r["doc_id"]][0])), ""]
         base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in found)
         assert r["base_score"] == pytest.approx(base) and r["n_tokens"] == len(found)
         assert r["n_known"] == sum(w in counts for w in found) and r["train_tokens"] == n
-        assert math.isfinite(r["score"]) and r["score"] < 0
-
-
-def test_class_model_is_a_distribution(docs):
-    texts = docs.select("text")
-    counts = brown_lm.word_counts(texts)
-    model = brown_lm.fit(texts, counts)
-    units, known = brown_lm._units(model.frequent), {}
-    for r in counts.collect():
-        known.setdefault(model.label[units[r["word"].encode()]], []).append(r["n"])
-    for c in range(0, brown_lm.CLASSES, 7):
-        total = sum((sum(ns) + 0.5 * len(ns)) * 10 ** model.term[c, k] for k, ns in known.items())
-        total += sum(0.5 * 10 ** model.term[c, k] for k in range(brown_lm.CLASSES))
-        assert total == pytest.approx(1, abs=1e-6)
+        if len(found) < 1000:
+            assert r["score"] == pytest.approx(sum(math.log10(probability(a, b)) for a, b in zip(["", *found], found, strict=False)))
+    # Words and one unknown word of each class make up all.
+    for h in range(0, brown_lm.CLASSES, 7):
+        given = [(counts[w] + 0.5) * 10 ** model.term[h, emitted(w)] for w in counts]
+        assert sum(given) + sum(0.5 * 10 ** model.term[h]) == pytest.approx(1, abs=1e-6)
+
+
+def test_words_move_to_where_their_neighbours_are(spark):
+    # Words 10 to 29 follow class 1, words 30 to 49 class 2; all begin in the wrong one of classes 3 and 4 or in the right one.
+    rows = [(i, None, 600 + i, 40, 3 + (i % 3 == 0) if i < 30 else 4 - (i % 3 == 0), [(1, 38), (2, 2)] if i < 30 else [(1, 2), (2, 38)]) for i in range(10, 50)]
+    df = spark.createDataFrame(rows, "id int, word string, unit int, n long, e int, context array<struct<h: int, x: long>>").repartition(3)
+    fixed = np.zeros((brown_lm.CLASSES, brown_lm.CLASSES))
+    moved, table = brown_lm.exchanged(df, fixed)
+    classes = {r["id"]: r["e"] for r in moved.collect()}
+    assert len({classes[i] for i in range(10, 30)} & {classes[i] for i in range(30, 50)}) == 0
+    assert brown_lm.likelihood(table) > brown_lm.likelihood(fixed + brown_lm.class_table(df))
+    assert table.sum() == 40 * 40
+
+
+def test_better_class_is_that_of_brute_force():
+    rng = np.random.default_rng(4)
+    k, words = brown_lm.CLASSES, 30
+    use = rng.integers(0, 4, (words, k)) * rng.integers(0, 2, (words, k))
+    use[:, 1] += 1
+    old = rng.integers(1, k, words)
+    table = np.zeros((k, k))
+    for w in range(words):
+        table[:, old[w]] += use[w]
+    h, x = np.concatenate([np.flatnonzero(u) for u in use]), np.concatenate([u[u > 0] for u in use]).astype(float)
+    new = brown_lm.better_classes(h, x, (use > 0).sum(axis=1), old, use.sum(axis=1).astype(float), table)
+    for w in range(words):
+        value = []
+        for c in range(1, k):
+            if not table[:, c].any():
+                continue
+            other = table.copy()
+            other[:, old[w]] -= use[w]
+            other[:, c] += use[w]
+            value.append(brown_lm.likelihood(other))
+        other = table.copy()
+        other[:, old[w]] -= use[w]
+        other[:, new[w]] += use[w]
+        assert brown_lm.likelihood(other) == pytest.approx(max(value))
 
 
 def test_exchange_separates_two_languages():
