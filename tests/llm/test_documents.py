@@ -207,6 +207,35 @@ def test_mix_meets_targets(docs):
     assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in names)
 
 
+def test_mix_prefers_long_documents_and_fills_behind_them(spark):
+    rng = random.Random(8)
+    # Source a: sizes of 4 and 64 words; source b: one document has half of the words; c: rows without an id.
+    rows = [(i, "w " * (64 if i % 2 else 4), "a") for i in range(1200)] + [(2000, "w " * 3000, "b")]
+    rows += [(2001 + i, "w " * rng.randint(1, 9), "b") for i in range(600)] + [(None, f"x{i} " * 10, "c") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = source_mixing.measured(df, weights=(1, 1, 1), share=0.4, most=2).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        key = "a" if r["doc_id"] is not None and r["doc_id"] < 2000 else "b" if r["doc_id"] else "c"
+        taken[key] += r["taken"]
+        target[key] = r["target"]
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+    assert abs(taken["a"] - target["a"]) <= 32 and abs(taken["b"] - target["b"]) <= 5 and abs(taken["c"] - target["c"]) <= 10
+    short, long = (sum(r["taken"] % (2 * n) > 0 for r in got if r["size"] == n and (r["doc_id"] or 9999) < 2000) for n in (4, 64))
+    assert long > 2 * short > 0
+
+
+def test_expected_words_are_the_rest(spark):
+    rng = random.Random(9)
+    sizes = [int(2 ** rng.uniform(0, 12)) for _ in range(500)]
+    drawn = spark.createDataFrame([("s", n) for n in sizes] + [(None, 7)], "source string, size long")
+    for share in (0.05, 0.5, 0.97):
+        plan = spark.createDataFrame([("s", share * sum(sizes)), (None, 3.0)], "source string, rest double")
+        level = {r["source"]: r["level"] for r in source_mixing.levels(drawn, plan).collect()}
+        weight = [2 ** (math.floor(4 * math.log2(n)) * source_mixing.POWER / 4) for n in sizes]
+        assert sum(min(1, level["s"] * w) * n for w, n in zip(weight, sizes)) == pytest.approx(share * sum(sizes))
+
+
 def test_mixed_rows_are_the_copies(docs):
     words = sum(len(WORD.findall(r["text"] or "")) for r in source_mixing.mixed(docs).collect())
     assert words == sum(r["taken"] for r in source_mixing.measured(docs).collect())
