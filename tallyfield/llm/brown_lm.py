@@ -353,8 +353,7 @@ def fit(texts: DataFrame, counts: DataFrame) -> Model:
     return Model(words, n, emitted, label, term, total, distinct, every.where("id < 0").select("word", F.col("n").alias("count"), "e"))
 
 
-_REST = pa.list_(pa.struct([("word", pa.string()), ("h", pa.int32()), ("e", pa.int32()), ("n", pa.int64())]))
-_PARTS = "doc_id long, text_key long, n_tokens long, n_known long, known_log double, class_log double, rest array<struct<word: string, h: int, e: int, n: long>>"
+_PARTS = "doc_id long, text_key long, n_tokens long, n_known long, known_log double, class_log double, rest array<struct<word: string, h: int, e: int>>"
 
 
 def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
@@ -385,14 +384,16 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
             starts = np.cumsum(sizes) - sizes
             known_log = np.where(here, logs[ids], 0)
             class_log = np.where(here, term[before, emitted[ids]], 0)
-            rest: list[Counter] = [Counter() for _ in texts]
-            own = np.repeat(np.arange(len(texts)), sizes)
-            for i, doc, h, e in zip(odd, own[odd].tolist(), before[odd].tolist(), label[units[odd]].tolist(), strict=True):
-                rest[doc][found[i], h, e] += 1
+            # The unknown words of all texts in a row, and where those of each text begin.
+            firsts = np.searchsorted(odd, np.append(starts, len(found)))
+            rest = pa.StructArray.from_arrays(
+                [pa.array([found[i].decode("utf-8") for i in odd], pa.string()), pa.array(before[odd].astype(np.int32)), pa.array(label[units[odd]].astype(np.int32))],
+                names=["word", "h", "e"],
+            )
             columns = [
                 pa.array(sizes), pa.array(np.add.reduceat(here & (n[ids] > 0), starts, dtype=np.int64)),
                 pa.array(np.add.reduceat(known_log, starts)), pa.array(np.add.reduceat(class_log, starts)),
-                pa.array([[{"word": w.decode("utf-8"), "h": h, "e": e, "n": k} for (w, h, e), k in r.items()] for r in rest], _REST),
+                pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), rest),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), *columns],
@@ -403,11 +404,11 @@ def scored(docs: DataFrame, training: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, _PARTS)
     # A name of its own, which no word has, carries what is known of the row already.
     nothing = [F.lit(0).alias(c) for c in ("h", "e")]
-    own = F.struct(F.concat(F.lit(" "), F.col("text_key").cast("string")).alias("word"), *nothing, F.lit(0).cast("long").alias("n"))
+    own = F.struct(F.concat(F.lit(" "), F.col("text_key").cast("string")).alias("word"), *nothing)
     parts = rows.select("*", F.posexplode(F.concat(F.array(own), F.col("rest"))).alias("pos", "item"))
     head = F.col("pos") == 0
     parts = parts.select(
-        "doc_id", "text_key", F.col("item.word").alias("word"), F.col("item.h").alias("h"), F.col("item.e").alias("unit_e"), F.col("item.n").alias("times"),
+        "doc_id", "text_key", F.col("item.word").alias("word"), F.col("item.h").alias("h"), F.col("item.e").alias("unit_e"), F.when(head, 0).otherwise(1).alias("times"),
         *(F.when(head, F.col(c)).alias(c) for c in ("n_tokens", "n_known", "known_log", "class_log")),
     )
     joined = parts.join(model.others, "word", "left")
