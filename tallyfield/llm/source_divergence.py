@@ -4,14 +4,18 @@ A first pass over the texts counts in how many documents of its language each te
 terms, sorted, get ordinals, and a second pass streams every text through a transducer of them to
 count (language, source, term). The transducer that all tasks receive holds the terms of the most
 documents, up to a fixed number and length; what it does not accept is counted per task and
-dealt by hash to transducers of the remaining kept terms, each of bounded size. Sums, ratios and
-ranks are exact whole numbers, and equal values are ordered by ordinal.
+dealt by hash to transducers of the remaining kept terms, each of bounded size. A task sums its
+counts over many texts, and they move as packed rows: one for a group and a block of places, or a
+group and a hash of terms. Sums, ratios and ranks are exact whole numbers, and equal values are
+ordered by ordinal.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +30,10 @@ from tallyfield.llm.common import slices, stored, table
 MIN_DOCS, TOP_TERMS, SCALE = 3, 200, 1_000_000_000
 # Terms, and bytes of a term, that the transducer sent to all tasks may hold; terms of one of the others.
 HEAD_TERMS, HEAD_BYTES, SHARD_TERMS = 1 << 17, 64, 1 << 14
+# Different terms, counts, groups, or bytes of text, from which on a task puts out what it has counted.
+TERMS_AT_ONCE, COUNTS_AT_ONCE, GROUPS_AT_ONCE, BYTES_AT_ONCE = 1 << 18, 1 << 20, 1 << 12, 1 << 25
+# Places, or words, that a packed row may hold; sums that are put out together.
+BLOCK, ROW_WORDS, SUMS_AT_ONCE = 1 << 11, 1 << 10, 1 << 16
 # Parts that the rows of one language are dealt to.
 SALTS = 64
 # Products of term counts by which a task compares sources at once.
@@ -54,16 +62,27 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 
 
 def _documents_of_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, term, n): in how many of a batch's texts of the language the term is."""
-    for batch, data, offsets in _batches(batches):
-        text, seen = data.tobytes().replace(b"\0", b" "), {}  # only blanks part words
-        for lang, a, b in zip(batch.column("lang").to_pylist(), offsets[:-1], offsets[1:], strict=True):
-            seen.setdefault(lang, Counter()).update(set(text[a:b].split()))
+    """(lang, term, n): in how many of some texts of the language the term is."""
+    seen: dict[str, Counter] = {}
+    held = 0
+
+    def found() -> Iterator[pa.RecordBatch]:
         for lang, counts in seen.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
                 names=["lang", "term", "n"],
             )
+        seen.clear()
+
+    for batch, data, offsets in _batches(batches):
+        text = data.tobytes().replace(b"\0", b" ")  # only blanks part words
+        for lang, a, b in zip(batch.column("lang").to_pylist(), offsets[:-1], offsets[1:], strict=True):
+            seen.setdefault(lang, Counter()).update(set(text[a:b].split()))
+        held += len(data)
+        if held >= BYTES_AT_ONCE or sum(map(len, seen.values())) >= TERMS_AT_ONCE:
+            yield from found()
+            held = 0
+    yield from found()
 
 
 def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -110,8 +129,44 @@ def _starts(machine: transducer.Transducer, langs: list[str]) -> tuple[np.ndarra
     return both[:, 0], both[:, 1]
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], machine: transducer.Transducer, ordinals: np.ndarray, rest: bool) -> Iterator[pa.RecordBatch]:
-    """(lang, source, ordinal, term, n) of each batch; terms that the transducer does not accept have no ordinal, and come if ``rest``."""
+def _seed(lang: str) -> int:
+    return zlib.crc32(lang.encode() + b"\0")
+
+
+def _packed(groups: list[tuple[str, str]], counted: list[tuple[np.ndarray, np.ndarray]], n_terms: int, missed: list[Counter], n_shards: int) -> pa.RecordBatch:
+    """What a task has counted: by group and block the places in it, by group and shard the words, ended by zeros; ``n`` are their counts."""
+    rows: list[tuple] = []
+    if counted:
+        keys, where = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+        n = np.zeros(len(keys), np.int64)
+        np.add.at(n, where, np.concatenate([n for _, n in counted]))
+        n = n.astype(np.uint32)  # fewer than the bytes held
+        group, place = np.divmod(keys, n_terms)
+        block, at = np.divmod(place, BLOCK)
+        at = at.astype(np.uint16)
+        bounds = np.flatnonzero((np.diff(group) != 0) | (np.diff(block) != 0)) + 1
+        for a, b in pairwise([0, *bounds.tolist(), len(keys)] if len(keys) else []):
+            rows.append((*groups[group[a]], -1 - int(block[a]), at[a:b].tobytes(), n[a:b].tobytes()))
+    for (lang, source), counts in zip(groups, missed, strict=True):
+        seed, shards = _seed(lang), {}
+        for word, n in counts.items():
+            words, ns = shards.setdefault(zlib.crc32(word, seed) % n_shards, ([], []))
+            words.append(word)
+            ns.append(n)
+        for shard, (words, ns) in shards.items():
+            for k in range(0, len(words), ROW_WORDS):
+                some = words[k : k + ROW_WORDS]
+                rows.append((lang, source, shard, b"\0".join(some) + b"\0", np.array(ns[k : k + ROW_WORDS], np.uint32).tobytes()))
+    kinds = {"lang": pa.string(), "source": pa.string(), "part": pa.int32(), "words": pa.binary(), "n": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())], names=list(kinds))
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], machine: transducer.Transducer, n_shards: int) -> Iterator[pa.RecordBatch]:
+    """Packed counts of the texts' terms by place; of terms that the transducer does not accept by the terms themselves, if there are shards for them."""
+    groups: dict[tuple, int] = {}
+    counted: list[tuple[np.ndarray, np.ndarray]] = []
+    missed: list[Counter] = []
+    n_terms, held = max(1, machine.n), 0
     for batch, data, offsets in _batches(batches):
         letter = data > 0
         edge = np.concatenate([[False], letter, [False]])
@@ -121,57 +176,91 @@ def _streamed(batches: Iterator[pa.RecordBatch], machine: transducer.Transducer,
         inner = offsets[offsets > 0] - 1
         ends[inner] = letter[inner]
         begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        groups: dict[tuple, int] = {}
         pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
         group_of_doc = np.array([groups.setdefault(pair, len(groups)) for pair in pairs], np.int64)
-        group = group_of_doc[np.searchsorted(offsets, begin, "right") - 1]
-        names = list(groups)
-        state, total = _starts(machine, [lang for lang, _ in names])
+        missed += [Counter() for _ in range(len(groups) - len(missed))]
+        group = np.repeat(group_of_doc, np.diff(np.searchsorted(begin, offsets)))
+        state, total = _starts(machine, [lang for lang, _ in groups])
         place = machine.places(data, begin, end, state[group], total[group])
         hit = place >= 0
-        key, n = np.unique(group[hit] * max(1, machine.n) + place[hit], return_counts=True)
-        g, at = np.divmod(key, max(1, machine.n))
-        columns = [g.tolist(), ordinals[at].tolist() if len(at) else [], [None] * len(g), n.tolist()]
-        if rest:
-            text = data.tobytes()
-            missed = np.flatnonzero(~hit)
-            left = Counter((x, text[a:b]) for x, a, b in zip(group[missed].tolist(), begin[missed].tolist(), end[missed].tolist(), strict=True))
-            more = [[x for x, _ in left], [None] * len(left), [t for _, t in left], list(left.values())]
-            columns = [x + y for x, y in zip(columns, more, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([names[x][0] for x in columns[0]], pa.string()), pa.array([names[x][1] for x in columns[0]], pa.string()),
-             pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.int64())],
-            names=["lang", "source", "ordinal", "term", "n"],
-        )
-
+        counted.append(np.unique(group[hit] * n_terms + place[hit], return_counts=True))
+        if n_shards:
+            inside = np.zeros(len(data) + 1, np.int8)  # 1 in accepted words
+            inside[begin[hit]] += 1
+            inside[end[hit]] -= 1
+            text = np.where(letter & (np.cumsum(inside[:-1], dtype=np.int8) == 0), data, 32).astype(np.uint8).tobytes()
+            for x, a, b in zip(group_of_doc.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                missed[x].update(text[a:b].split())
+        held += len(data)
+        full = held >= BYTES_AT_ONCE or len(groups) >= GROUPS_AT_ONCE
+        if full or sum(len(k) for k, _ in counted) >= COUNTS_AT_ONCE or sum(map(len, missed)) >= TERMS_AT_ONCE:
+            yield _packed(list(groups), counted, n_terms, missed, n_shards)
+            groups, counted, missed, held = {}, [], [], 0
+    yield _packed(list(groups), counted, n_terms, missed, n_shards)
+
+
+def _summed(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(lang, source, ordinal, n) of packed counts sorted by part and group.
+
+    ``head`` has the ordinals by place of the transducer that all tasks have. In each shard its kept
+    terms come first: they make the transducer that the others go through.
+    """
+    part, terms, machine, ordinals = None, [], None, None
+    group, sums = None, None
+    out: list[tuple[str, str, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def close() -> int:
+        """Puts the sums of the group by; how many there are."""
+        at = np.flatnonzero(sums) if group is not None else []
+        if len(at):
+            out.append((*group, ordinals[at], sums[at]))
+        return len(at)
+
+    def put() -> pa.RecordBatch:
+        sizes = [len(n) for *_, n in out]
+        columns = [pa.array(np.repeat(np.array([x[k] for x in out], object), sizes), pa.string()) for k in (0, 1)]
+        columns += [pa.array(np.concatenate([x[k] for x in out]), pa.int64()) for k in (2, 3)]
+        out.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "ordinal", "n"])
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of rows sorted by shard, in each shard its kept terms first: they make the transducer that the others go through."""
-    shard, terms, machine, ordinals = None, [], None, None
     for batch in batches:
-        bounds = np.flatnonzero(np.diff(batch.column("shard").to_numpy())) + 1
-        for a, b in zip([0, *bounds], [*bounds, batch.num_rows], strict=True):
-            part = batch.slice(a, b - a)
-            if not part.num_rows:
-                continue
-            if part.column("shard")[0].as_py() != shard:
-                shard, terms, machine = part.column("shard")[0].as_py(), [], None
-            known = int(part.column("known").to_numpy().sum())
-            terms += zip(*(part.slice(0, known).column(c).to_pylist() for c in ("lang", "term", "ordinal")), strict=True)
-            part = part.slice(known)
-            if not part.num_rows or not terms:
+        bounds = np.flatnonzero(np.diff(batch.column("part").to_numpy())) + 1
+        for a, b in pairwise([0, *bounds.tolist(), batch.num_rows] if batch.num_rows else []):
+            rows = batch.slice(a, b - a)
+            if rows.column("part")[0].as_py() != part:
+                held += close()
+                part, terms, machine, group = rows.column("part")[0].as_py(), [], None, None
+                ordinals = head[(-1 - part) * BLOCK : -part * BLOCK] if part < 0 else None
+            known = int(rows.column("known").to_numpy().sum())
+            terms += zip(*(rows.slice(0, known).column(c).to_pylist() for c in ("lang", "words", "ordinal")), strict=True)
+            rows = rows.slice(known)
+            if not rows.num_rows or part >= 0 and not terms:
                 continue
-            if machine is None:
-                machine, ordinals = _built(terms)
-            words = part.column("term").cast(pa.large_binary())
-            offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
-            data = np.frombuffer(words.buffers()[2], np.uint8)
-            place = machine.places(data, offsets[:-1], offsets[1:], *_starts(machine, part.column("lang").to_pylist()))
-            hit = np.flatnonzero(place >= 0)
-            part = part.take(pa.array(hit))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), part.column("source"), pa.array(ordinals[place[hit]]), part.column("n")], names=["lang", "source", "ordinal", "n"]
-            )
+            langs, sources, counts = (rows.column(c).to_pylist() for c in ("lang", "source", "n"))
+            if part < 0:
+                places = [np.frombuffer(x, np.uint16) for x in rows.column("words").to_pylist()]
+            else:
+                if machine is None:
+                    machine, ordinals = _built(terms)
+                data = np.frombuffer(b"".join(rows.column("words").to_pylist()), np.uint8)
+                end = np.flatnonzero(data == 0)
+                sizes = np.array([len(x) // 4 for x in counts])
+                state, total = _starts(machine, langs)
+                place = machine.places(data, np.concatenate([[0], end[:-1] + 1]), end, np.repeat(state, sizes), np.repeat(total, sizes))
+                places = np.split(place, np.cumsum(sizes)[:-1])
+            for *now, place, n in zip(langs, sources, places, counts, strict=True):
+                if group != now:
+                    held += close()
+                    group, sums = now, np.zeros(len(ordinals), np.int64)
+                    if held >= SUMS_AT_ONCE:
+                        yield put()
+                        held = 0
+                hit = place >= 0
+                sums[place[hit]] += np.frombuffer(n, np.uint32)[hit]  # a row has no place twice
+    close()
+    if out:
+        yield put()
 
 
 def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -179,25 +268,26 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     in_head = _head(kept)
     head = kept.where(in_head).select("lang", "term", "ordinal").collect()  # at most HEAD_TERMS short terms
-    n_tail = kept.count() - len(head)
+    n_shards = -(-(kept.count() - len(head)) // SHARD_TERMS)
     shared: Broadcast = spark.sparkContext.broadcast(_built([tuple(row) for row in head]))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _streamed(batches, *shared.value, n_tail > 0)
-
-    counts = _read(docs).mapInArrow(stream, "lang string, source string, ordinal long, term binary, n long")
-    counts = counts.groupBy("lang", "source", "ordinal", "term").agg(F.sum("n").alias("n"))
-    columns = ("lang", "source", "ordinal", "n")
-    if not n_tail:
-        return stored(counts.select(*columns))
-    counts = stored(counts)
-    n_shards = -(-n_tail // SHARD_TERMS)
-    shard = F.pmod(F.xxhash64("lang", "term"), F.lit(n_shards)).alias("shard")
-    tail = kept.where(~in_head).select(shard, F.lit(1).alias("known"), "lang", F.lit(None).cast("string").alias("source"), "ordinal", "term", F.lit(0).cast("long").alias("n"))
-    missed = counts.where("term is not null").select(shard, F.lit(0).alias("known"), "lang", "source", "ordinal", "term", "n")
-    dealt = tail.union(missed).repartition(n_shards, "shard").sortWithinPartitions("shard", F.desc("known"))
-    more = dealt.mapInArrow(_shards, "lang string, source string, ordinal long, n long")
-    return stored(counts.where("term is null").select(*columns).union(more))
+        return _streamed(batches, shared.value[0], n_shards)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _summed(batches, shared.value[1])
+
+    none = F.lit(None)
+    packed = _read(docs).mapInArrow(stream, "lang string, source string, part int, words binary, n binary")
+    packed = packed.select("part", F.lit(0).alias("known"), "lang", "source", none.cast("long").alias("ordinal"), "words", "n")
+    if n_shards:
+        shard = F.pmod(F.crc32(F.concat(F.encode("lang", "UTF-8"), F.lit(bytearray(1)), "term")), F.lit(n_shards)).cast("int")
+        tail = kept.where(~in_head).select(shard.alias("part"), F.lit(1).alias("known"), "lang", none.cast("string").alias("source"), "ordinal", F.col("term").alias("words"), none.cast("binary").alias("n"))
+        packed = packed.union(tail)
+    own = F.col("part") < 0  # a block of a group is apart from those of others
+    dealt = packed.repartition("part", F.when(own, F.col("lang")), F.when(own, F.col("source")))
+    dealt = dealt.sortWithinPartitions("part", F.desc("known"), "lang", "source")
+    return stored(dealt.mapInArrow(add, "lang string, source string, ordinal long, n long"))
 
 
 def _ratio(n: Column, total: Column, terms: Column) -> Column:

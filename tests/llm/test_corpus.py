@@ -134,6 +134,47 @@ def test_divergence_of_sources(frame, monkeypatch, head):
     assert rows_of(source_divergence.audited(df, top_terms=4)) == divergences(docs, 3, 4)
 
 
+def text_batches(docs, size):
+    columns = {c: [d[k] for d in docs] for k, c in ((2, "lang"), (3, "source"), (1, "text"))}
+    return iter(pa.table(columns).to_batches(max_chunksize=size))
+
+
+def test_divergence_counts_move_summed():
+    """A task puts out a term of a language, and a block of a group, once for all its batches."""
+    docs = [(i, "and bee zoo", "en", f"s{i % 2}") for i in range(50)]
+    found = [row for b in source_divergence._documents_of_terms(text_batches(docs, 7)) for row in zip(*b.to_pydict().values(), strict=True)]
+    assert sorted(found) == [("en", b"and", 50), ("en", b"bee", 50), ("en", b"zoo", 50)]
+    machine, _ = source_divergence._built([("en", b"and", 0), ("en", b"bee", 1)])
+    rows = [row for b in source_divergence._streamed(text_batches(docs, 7), machine, 1) for row in b.to_pylist()]
+    assert sorted((r["source"], r["part"]) for r in rows) == [("s0", -1), ("s0", 0), ("s1", -1), ("s1", 0)]
+    assert all(set(np.frombuffer(r["n"], np.uint32)) == {25} for r in rows)
+
+
+@pytest.mark.parametrize("limit", ["TERMS_AT_ONCE", "COUNTS_AT_ONCE", "GROUPS_AT_ONCE", "BYTES_AT_ONCE", "BLOCK", "ROW_WORDS", "SUMS_AT_ONCE", None])
+def test_divergence_counts_in_pieces(monkeypatch, limit):
+    """Sums are the same however little a task holds at once and a row may hold."""
+    if limit:
+        monkeypatch.setattr(source_divergence, limit, 2)
+    draw = random.Random(9)
+    words = [f"{a}{b}" for a in "abcdé" for b in "xyz"] + ["out", "rare"]
+    docs = [(i, ", ".join(draw.choices(words, k=draw.randrange(9))), draw.choice(["en", "de", ""]), draw.choice("rst")) for i in range(40)]
+    n_shards, ordinal = 2, {(lang, w.encode()): 100 * k + j for k, lang in enumerate(["", "de", "en"]) for j, w in enumerate(sorted(words, key=str.encode)[:15])}
+    head = [(lang, w, o) for (lang, w), o in ordinal.items() if o % 3]
+    machine, ordinals = source_divergence._built(head)
+    rows = [
+        {"part": zlib.crc32(w, source_divergence._seed(lang)) % n_shards, "known": 1, "lang": lang, "source": None, "ordinal": o, "words": w, "n": None}
+        for (lang, w), o in ordinal.items() if o % 3 == 0
+    ]
+    for batch in source_divergence._streamed(text_batches(docs, 3), machine, n_shards):
+        rows += [{"known": 0, "ordinal": None} | row for row in batch.to_pylist()]
+    rows.sort(key=lambda r: (r["part"], -r["known"], r["lang"], r["source"] or ""))
+    kinds = {"part": pa.int32(), "known": pa.int32(), "lang": pa.string(), "source": pa.string(), "ordinal": pa.int64(), "words": pa.binary(), "n": pa.binary()}
+    dealt = iter(pa.Table.from_pylist(rows, schema=pa.schema(kinds)).to_batches(max_chunksize=5))
+    got = [row for b in source_divergence._summed(dealt, ordinals) for row in zip(*b.to_pydict().values(), strict=True)]
+    wanted = Counter((lang, source, ordinal[lang, w.encode()]) for _, text, lang, source in docs for w in text.split(", ") if (lang, w.encode()) in ordinal)
+    assert sorted(got) == sorted((*k, n) for k, n in wanted.items())
+
+
 def test_divergence_without_terms(frame):
     assert source_divergence.audited(frame([], DOCS)).count() == 0
     docs = [(1, "a", "en", "s"), (2, "123", "en", "t"), (3, None, None, None)]
