@@ -30,6 +30,8 @@ from tallyfield.llm.common import slices, stored, table
 MIN_DOCS, TOP_TERMS, SCALE = 3, 200, 1_000_000_000
 # Terms, and bytes of a term, that the transducer sent to all tasks may hold; terms of one of the others.
 HEAD_TERMS, HEAD_BYTES, SHARD_TERMS = 1 << 17, 64, 1 << 14
+# Parts that the other terms are dealt to at least, so that a few of them do not meet in one task.
+SHARDS = 64
 # Different terms, counts, groups, or bytes of text, from which on a task puts out what it has counted.
 TERMS_AT_ONCE, COUNTS_AT_ONCE, GROUPS_AT_ONCE, BYTES_AT_ONCE = 1 << 18, 1 << 20, 1 << 12, 1 << 25
 # Places, or words, that a packed row may hold; sums that are put out together.
@@ -268,7 +270,8 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     in_head = _head(kept)
     head = kept.where(in_head).select("lang", "term", "ordinal").collect()  # at most HEAD_TERMS short terms
-    n_shards = -(-(kept.count() - len(head)) // SHARD_TERMS)
+    n_tail = kept.count() - len(head)
+    n_shards = max(-(-n_tail // SHARD_TERMS), min(SHARDS, n_tail))
     shared: Broadcast = spark.sparkContext.broadcast(_built([tuple(row) for row in head]))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
