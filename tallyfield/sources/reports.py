@@ -15,9 +15,11 @@ def write_report(report: DataFrame, path: str, fmt: str = "csv") -> dict[str, in
 
     The rows and the NULLs of every column are counted while they are written, without another
     pass: ``{"(rows)": n, column: nulls, ...}``. The report is written beside the old one, which
-    goes only when the new one is complete; a failed write leaves the old one as it was.
+    goes only when the new one is complete; a failed write leaves the old one as it was. Columns
+    without a type, as of a bare NULL, are written as strings, as CSV takes none of that kind.
     """
     spark = report.sparkSession
+    report = report.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in report.dtypes if kind == "void"})
     seen = Observation()
     nulls = (F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{k}") for k, c in enumerate(report.columns))
     writer = report.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.format(fmt)

@@ -216,6 +216,13 @@ def test_report_counts_what_it_writes(spark, tmp_path, frame):
     assert spark.read.parquet(path).count() == 0
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_report_with_a_column_without_type(spark, tmp_path, fmt):
+    path = str(tmp_path / "report")
+    assert write_report(spark.range(3).withColumn("no type", F.lit(None)), path, fmt=fmt) == {"(rows)": 3, "id": 0, "no type": 3}
+    assert spark.read.format(fmt).option("header", True).load(path).where("`no type` is null").count() == 3
+
+
 def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
     path = str(tmp_path / "report")
     write_report(spark.range(5), path)
